@@ -88,13 +88,20 @@ def read_feature_lines(spark: SparkSession, path: str, on_bad: str = "fail") ->
     return parse_feature_lines(lines, on_bad)
 
 
+COLLECTION = T.StructType(
+    [T.StructField("type", T.StringType()), T.StructField("features", T.ArrayType(schema.FEATURE))]
+)
+
+
+def parse_feature_collections(docs: DataFrame) -> DataFrame:
+    """GeoJSON documents in column ``value``, each with a ``features`` array, to rows."""
+    parsed = F.from_json("value", COLLECTION, {"mode": "FAILFAST"})
+    return _feature_columns(docs.select(F.explode(parsed["features"]).alias("f")), "f")
+
+
 def read_feature_collection(spark: SparkSession, path: str) -> DataFrame:
-    """GeoJSON documents with a ``features`` array; documents run in parallel."""
-    shape = T.StructType(
-        [T.StructField("type", T.StringType()), T.StructField("features", T.ArrayType(schema.FEATURE))]
-    )
-    docs = spark.read.schema(shape).option("multiLine", True).json(path)
-    return _feature_columns(docs.select(F.explode("features").alias("f")), "f")
+    """GeoJSON documents, one per file; documents are read in parallel."""
+    return parse_feature_collections(spark.read.text(path, wholetext=True))
 
 
 def feature_lines(df: DataFrame) -> DataFrame:
