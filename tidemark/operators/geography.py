@@ -16,7 +16,7 @@ def dedup_predictions(results: DataFrame, keys: Sequence[str] = ("fltyid",)) ->
 
     Ties go to the deeper water, then to the smallest remaining values.
     """
-    rest = [c for c in ("gridname", "occ", "cost", "area", "latitude", "longitude", "numstories") if c in results.columns and c not in keys]
+    rest = [c for c in ("occ", "cbfips", "gridname", "cost", "area", "latitude", "longitude", "numstories") if c in results.columns and c not in keys]
     order = [F.col("bldgdmgpct").desc_nulls_last(), F.col("depth_grid").desc_nulls_last()]
     return inv.keep_first(results, keys, order + [F.col(c).asc_nulls_first() for c in rest])
 
