@@ -23,19 +23,18 @@ def exposure(spark, sf):
 
 def assessed(spark, sf, flood="CoastalA", override="off", mapping=MAPPING, qc=False):
     df = exposure(spark, sf)
-    rows = inv.apply_field_map(df.drop("depth_grid"), mapping)
-    # the depth rides along as a sampled column
     rows = inv.apply_field_map(df, mapping).withColumn("raster_id", F.lit("stand-in"))
     keep = [c for c in df.columns if c != "depth_grid"]
     return od.assess(rows, keep, mapping, flood, b.lookups(spark), override, qc)
 
 
-def total(*names, digits=2):
-    return [F.round(F.sum(n), digits).alias(n.lower()) for n in names]
+# losses have at most six decimals here, so decimal sums are exact in any order
+def total(*names):
+    return [F.sum(F.col(n).cast("decimal(24,6)")).cast("double").alias(n.lower()) for n in names]
 
 
-def total_sql(*names, digits=2):
-    return ", ".join(f"round(sum({n}), {digits}) AS {n.lower()}" for n in names)
+def total_sql(*names):
+    return ", ".join(f"CAST(sum(CAST({n} AS DECIMAL(24, 6))) AS DOUBLE) AS {n.lower()}" for n in names)
 
 
 KEYED = "FROM keyed_exposure"
@@ -215,9 +214,6 @@ for _name, _cols in LOSSES.items():
         return assessed(spark, sf).groupBy("Occ", "SOID").agg(F.count(cols[0]).alias("n"), *total(*cols))
 
 
-CHOSEN_MAPPING = {**MAPPING, "BDDF_ID": "user_curve", "CDDF_ID": "user_curve", "IDDF_ID": "user_curve"}
-
-
 def chosen(spark, sf, override, qc=False):
     """The user's curve id serves all three kinds; results replace the mapped column."""
     df = exposure(spark, sf).withColumns({f"u{k}": F.col("user_curve") for k in "bki"})

@@ -362,13 +362,13 @@ CENSUS = {
 }
 b.cte(
     "census",
-    "SELECT tract_geoid, sum(q) AS population, CAST(max(k) AS DOUBLE) / 44 AS svi_rank FROM (" + b.select(CENSUS, "lineitem") + ") GROUP BY 1",
+    "SELECT tract_geoid, sum(q) * CAST('1.0123457' AS DOUBLE) AS population, CAST(max(k) AS DOUBLE) / 44 AS svi_rank FROM (" + b.select(CENSUS, "lineitem") + ") GROUP BY 1",
 )
 
 
 def census(spark, sf):
     keyed = b.project(b.table(spark, sf, "lineitem"), CENSUS)
-    return keyed.groupBy("tract_geoid").agg(F.sum("q").alias("population"), (F.max("k").cast("double") / 44).alias("svi_rank"))
+    return keyed.groupBy("tract_geoid").agg((F.sum("q") * 1.0123457).alias("population"), (F.max("k").cast("double") / 44).alias("svi_rank"))
 
 
 SVI_RATE = "CASE WHEN svi_rank < 0.4 THEN 0.0::DOUBLE WHEN svi_rank < 0.8 THEN 0.025::DOUBLE WHEN svi_rank <= 1.0 THEN 0.05::DOUBLE END"
@@ -390,8 +390,8 @@ def _(spark, sf):
 @query(
     "imp08_imp09_shelter_demand",
     sql(
-        f"SELECT b.tract_geoid, {SVI_RATE} AS svi_rate, round(population * (bhi_factor * 0.5::DOUBLE) * {SVI_RATE}, 8) AS shelter_low, "
-        f"round(population * bhi_factor * {SVI_RATE}, 8) AS shelter_high FROM bhi b LEFT JOIN census c ON c.tract_geoid = b.tract_geoid WHERE b.tract_geoid IS NOT NULL",
+        f"SELECT b.tract_geoid, {SVI_RATE} AS svi_rate, round(population * (bhi_factor * 0.5::DOUBLE) * {SVI_RATE}, 6) AS shelter_low, "
+        f"round(population * bhi_factor * {SVI_RATE}, 6) AS shelter_high FROM bhi b LEFT JOIN census c ON c.tract_geoid = b.tract_geoid WHERE b.tract_geoid IS NOT NULL",
         "bhi",
         "census",
     ),
@@ -400,7 +400,7 @@ def _(spark, sf):
     df = pop.join_population(bhi(spark, sf), census(spark, sf))
     both = df.withColumns({"bhi_low": F.col("bhi_factor") * 0.5, "bhi_high": F.col("bhi_factor")})
     out = pop.shelter_demand(both)
-    return out.select("tract_geoid", "svi_rate", F.round("shelter_low", 8).alias("shelter_low"), F.round("shelter_high", 8).alias("shelter_high"))
+    return out.select("tract_geoid", "svi_rate", F.round("shelter_low", 6).alias("shelter_low"), F.round("shelter_high", 6).alias("shelter_high"))
 
 
 @query(
