@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import fixed
 from tidemark.operators.curves import Lookups
-from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,7 +31,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def project(df: DataFrame, exprs: dict[str, str]) -> DataFrame:

@@ -28,6 +28,9 @@ ENGINE_MAPPING = {
 }
 
 
+SEPARATOR = "\n"
+
+
 @dataclass
 class RunParams:
     """Settings of a run. ``overrides`` of :meth:`of` replace the defaults by name."""
@@ -74,9 +77,10 @@ def clipped_inventory(inventory: DataFrame, raster_meta: DataFrame, policy: str
     else:
         rows = rows.where(F.col("bid").isNotNull() & F.col("latitude").isNotNull())
     bounds = spatial.raster_bounds(raster_meta).select("raster_id", *spatial.BOUNDS)
-    over = spatial.rasters_over(rows, bounds)
+    # the set travels as one text: it sorts and hashes faster than an array
+    over = spatial.rasters_over(rows, bounds).withColumn("raster_ids", F.array_join("raster_ids", SEPARATOR))
     first = inv.dedup_inventory(over, ["bid", "raster_ids"]).repartition("bid")
-    pairs = first.withColumn("raster_id", F.explode("raster_ids")).drop("raster_ids")
+    pairs = first.withColumn("raster_id", F.explode(F.split("raster_ids", SEPARATOR))).drop("raster_ids")
     best = inv.dedup_inventory(pairs, ["bid", "raster_id"])
     if policy == "fill":
         best = best.fillna(fixed.FILL_DEFAULTS)

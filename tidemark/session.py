@@ -18,16 +18,9 @@ SETTINGS = {
 }
 
 
-# Settings that may change at run time. HotSpot does not compile methods above 8000
-# bytes; beyond that limit Spark should fall back from one fused method to small ones.
-RUNTIME_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
-
-
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings to a session made elsewhere."""
-    for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
+# The fused loop of a damage run is one long method, and HotSpot leaves methods above
+# 8000 bytes interpreted unless told otherwise. Set before the JVMs start.
+JVM_OPTIONS = "-XX:-DontCompileHugeMethods"
 
 
 def get_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -37,9 +30,11 @@ def get_session(app_name: str = "tidemark", master: str | None = None, **conf: s
         builder = builder.master(master)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    for side in ("driver", "executor"):
+        builder = builder.config(f"spark.{side}.extraJavaOptions", JVM_OPTIONS)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return tune(builder.getOrCreate())
+    return builder.getOrCreate()
 
 
 def scratch_dir(spark: SparkSession) -> str:
