@@ -136,7 +136,7 @@ def test_row_statuses(spark, lookups):
     assert (counters.processed, counters.errors, counters.exposed, counters.unmatched) == (7, 2, 2, 1)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
         st.tuples(

@@ -57,7 +57,7 @@ def test_utm_known_points(spark):
     assert [r[0] for r in zones.select(geo.utm_zone(F.col("lat"), F.col("lon"))).collect()] == [32, 31, 33, 35, 37, 60, 1]
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.floats(-179, 179), st.floats(-80, 80)), min_size=1, max_size=30))
 def test_utm_round_trip(spark, places):
     df = points(spark, places).withColumn("zone", geo.utm_zone(F.col("latitude"), F.col("longitude")))
@@ -84,7 +84,7 @@ def test_projected_raster_building(spark):
     assert spatial.cell_prefilter(place, cells, 0.015625).count() == 1
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.sets(st.tuples(st.integers(0, 9), st.integers(0, 9)), min_size=1, max_size=12),
     st.lists(st.tuples(st.floats(-82.0999, -80.9), st.floats(26.9, 28.0999)), min_size=1, max_size=40),
