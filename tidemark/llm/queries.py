@@ -32,3 +32,23 @@ def op4(spark, sf):
 
     kept = remove_repeats(table(spark, sf, "documents"), 20)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op1_bpe_round_trip")
+def op1(spark, sf):
+    """Ids of every text, and the text decoded from them, as digests."""
+    from tidemark.llm.bpe import decode, encode
+
+    path = vocabulary_path()
+    return decode(encode(table(spark, sf, "documents"), path), path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
