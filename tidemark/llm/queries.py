@@ -52,3 +52,21 @@ def op1(spark, sf):
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+OP10_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT payload_digest, payload_bytes, max(page_id) AS held FROM p WHERE payload_bytes >= 1000 GROUP BY ALL HAVING count(*) > 1)
+SELECT p.page_id, CAST(p.payload_bytes AS BIGINT) AS payload_bytes, p.payload_digest,
+       CASE WHEN g.held IS NULL OR g.held = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN g.held <> p.page_id THEN g.held END AS refers_to
+FROM p LEFT JOIN g USING (payload_digest, payload_bytes)
+"""
+
+
+@query("op10_warc_archives", OP10_SQL)
+def op10(spark, sf):
+    """Pages written to dictionary-compressed archives and read back."""
+    from tidemark.llm.warc import round_trip
+
+    return round_trip(table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
