@@ -70,3 +70,12 @@ def op10(spark, sf):
     from tidemark.llm.warc import round_trip
 
     return round_trip(table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op5_near_dedup")
+def op5(spark, sf):
+    """Two-word shingles, similarity of 0.8: components, of which the smallest id stays."""
+    from tidemark.llm.near import near_duplicates
+
+    found = near_duplicates(table(spark, sf, "documents"), 2, 80)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
