@@ -79,3 +79,11 @@ def op5(spark, sf):
 
     found = near_duplicates(table(spark, sf, "documents"), 2, 80)
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+@query("op9_decontaminate")
+def op9(spark, sf):
+    """Test items of which half or more stands in a document, in whatever order."""
+    from tidemark.llm.tiling import leaks
+
+    return leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
