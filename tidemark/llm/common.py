@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ def slices(batch: pa.RecordBatch, text: int = 1, limit: int = SLICE_BYTES) -> It
     n = batch.num_rows
     if not n:
         return
-    sizes = np.cumsum([len(x) if x is not None else 0 for x in _raw(batch.column(text))])
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < n:
         before = sizes[start - 1] if start else 0

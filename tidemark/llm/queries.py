@@ -87,3 +87,14 @@ def op9(spark, sf):
     from tidemark.llm.tiling import leaks
 
     return leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op8_language_id")
+def op8(spark, sf):
+    """Language of every text, learned from three of four folds."""
+    from tidemark.llm.langid import fit, fold, predict
+
+    docs = table(spark, sf, "documents")
+    model = fit(docs.where(fold(docs, 4) != 2))
+    held_out = F.coalesce(fold(docs, 4) == 2, F.lit(True))
+    return predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
