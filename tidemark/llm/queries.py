@@ -98,3 +98,21 @@ def op8(spark, sf):
     model = fit(docs.where(fold(docs, 4) != 2))
     held_out = F.coalesce(fold(docs, 4) == 2, F.lit(True))
     return predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op3_secret_scan")
+def op3(spark, sf):
+    """Base spans of every text, and those that inferred formats add."""
+    from tidemark.llm.secrets import fit, scan
+
+    docs = table(spark, sf, "documents")
+    count = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long")
+    spell = lambda spans: F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])))
+    return scan(docs, fit(docs)).select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(spell(F.filter("found", lambda x: x["base"])), 256).alias("base_sha256"),
+        spell(F.col("found")).alias("spans"),
+    )
