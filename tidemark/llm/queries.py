@@ -129,3 +129,12 @@ def op6(spark, sf):
     scored = score(docs, model)
     held_out = F.coalesce(fold(scored, 5) == 0, F.lit(True))
     return scored.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@query("op7_nearest_vectors")
+def op7(spark, sf):
+    """Twenty nearest of every twentieth vector, by inner product."""
+    from tidemark.llm.ann import nearest
+
+    vectors = table(spark, sf, "embeddings")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
