@@ -138,3 +138,11 @@ def op7(spark, sf):
 
     vectors = table(spark, sf, "embeddings")
     return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
+
+
+@query("op2_license_scan")
+def op2(spark, sf):
+    """License notices and texts of which a document holds four fifths or more in one place."""
+    from tidemark.llm.licenses import scan
+
+    return scan(table(spark, sf, "documents"))
