@@ -78,10 +78,8 @@ class Model:
 
     def margins(self, texts: list[str]) -> np.ndarray:
         bucket, begin = grams(texts)
-        # the last trigram position of a text is its last letter's gap: segments are adjacent
-        ends = np.minimum(begin[1:], len(bucket))
         out = np.zeros((len(texts), self.weights.shape[1]))
-        for k, (a, b) in enumerate(zip(begin[:-1], ends, strict=True)):
+        for k, (a, b) in enumerate(zip(begin[:-1], begin[1:], strict=True)):
             own = bucket[a : b - 1] if b - a > 1 else bucket[a:a]
             total = np.zeros(self.weights.shape[1])
             for lo in range(0, len(own), 1 << 17):
