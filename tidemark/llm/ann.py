@@ -155,6 +155,8 @@ def build_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     distinct, owner = np.unique(vectors, axis=0, return_inverse=True)
     owner = owner.ravel()
     order = np.lexsort((rows["vec_id"], owner))
+    place = np.stack([owner[order], rows["vec_id"].to_numpy()[order]])
+    order = order[np.append(True, (place[:, 1:] != place[:, :-1]).any(0))]  # repeated rows once
     norm = np.linalg.norm(distinct, axis=1)
     scale = float(norm.max())
     points = np.hstack([distinct / scale, np.sqrt(np.maximum(0, 1 - (norm / scale) ** 2))[:, None]])
@@ -213,7 +215,8 @@ def search_shard(k: int, ef: int):
                 size = [len(x) for x in own]
                 found, score = np.concatenate(own), np.repeat(score, size)
                 score, found = score[found != query_id], found[found != query_id]
-                best = np.lexsort((found, -score))[:k]
+                best = np.lexsort((found, -score))
+                best = best[np.sort(np.unique(found[best], return_index=True)[1])[:k]]
                 out["query_id"].append(np.full(len(best), query_id))
                 out["vec_id"].append(found[best])
                 out["score"].append(score[best])
