@@ -8,10 +8,10 @@ two sets miss each other in all bands with probability below 2e-7.
 
 1. Equal sets become one class; the smallest ``doc_id`` stands for it.
 2. Classes that agree on a band share a block. Each first meets the hub (smallest id) that it
-   shares most blocks with, then its other hubs where that did not connect them, and at last,
-   in blocks that still hold several components, the members of the other components. What
-   is left out are pairs already connected, so no component is changed by that, and no block
-   is expanded into all its pairs.
+   shares most blocks with. Blocks that still hold several components then look for links
+   between these: blocks of up to ``CROWDED`` members by pairs, larger ones through what
+   each member does not share with a reference text, see ``crowded_links``. What is left out
+   are pairs already connected or provably unlinked; no block is expanded into all its pairs.
 3. A pair is estimated from its registers, corrected for chance collisions, and dropped when
    the estimate is over six standard errors below the threshold. The rest is decided on full
    sets, in integers: ``100 * intersection >= percent * union``.
@@ -29,7 +29,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import mix, pick, powers, raw_texts, run_hash, slices, stored, word_table
@@ -39,6 +39,7 @@ BANDS, ROWS = 40, 5
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
 PERCENT = 80
+CROWDED = 8
 FULL = np.uint64(2**64 - 1)
 PROBES = np.random.default_rng(99).integers(0, REGISTERS, (64, REGISTERS))
 
@@ -187,11 +188,64 @@ def links_of(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int,
     )
 
 
-def unlike(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs whose ends are not connected yet."""
-    root = lambda x: comps.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
-    joined = pairs.join(root("u"), "u", "left").join(root("v"), "v", "left")
-    return joined.where(F.coalesce("c_u", "u") != F.coalesce("c_v", "v")).select("u", "v")
+# --- crowded blocks ----------------------------------------------------------------
+def difference_task(size: int):
+    """Size of a set, and what it and a reference's set do not share."""
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 200):
+                piece = batch.slice(lo, 200)
+                texts = [piece.column(i).to_pylist() for i in (2, 3)]
+                distinct = list(dict.fromkeys([*texts[0], *texts[1]]))
+                sets = dict(zip(distinct, shingle_sets([t.encode() for t in distinct], size), strict=True))
+                apart = [np.setxor1d(sets[x], sets[y], assume_unique=True).view(np.int64) for x, y in zip(*texts, strict=True)]
+                n, m = ([len(sets[x]) for x in side] for side in texts)
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column(0), piece.column(1), pa.array(m, pa.int64()), pa.array(n, pa.int64()), pa.array(apart, pa.list_(pa.int64()))],
+                    names=["ref", "rep", "n", "n_ref", "apart"],
+                )
+
+    return task
+
+
+def crowded_links(places: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between members of one crowded block in different components, without its pairs.
+
+    ``places`` has ref, rep and c: members of blocks, a reference for each block (any text will
+    do) and the member's component. With D as what a set and the reference's do not share, two
+    sets differ in ``|Du| + |Dv| - 2 |Du & Dv|`` shingles and are linked when that is at most
+    ``(n_u + n_v) * (100 - percent) / (100 + percent)``. So members close to the reference are
+    linked with it, and any other must share a stated number of *differences* with its
+    partner: an inverted list over differences, rarest first, finds all partners by prefix, and the
+    differences that a whole group shares are not looked up.
+    """
+    joined = places.join(side(texts, "ref", "text"), "ref").join(side(texts, "rep", "text"), "rep")
+    shape = "ref long, rep long, n long, n_ref long, apart array<long>"
+    apart = joined.where("ref <> rep").select("ref", "rep", "text_ref", "text_rep").distinct().mapInArrow(difference_task(size), shape)
+    apart = stored(apart.join(places.select("ref", "rep", "c").distinct(), ["ref", "rep"]).withColumn("d", F.size("apart")))
+    near_ref = F.col("d") * (100 + percent) <= (F.col("n") + F.col("n_ref")) * (100 - percent)
+    linked = apart.where(near_ref).select(F.col("ref").alias("u"), F.col("rep").alias("v"))
+
+    share = (100 - percent) / (100 + percent)
+    entries = apart.withColumn("far", ~near_ref).select("ref", "rep", "c", "n", "d", "far", F.explode("apart").alias("e"))
+    common = entries.groupBy("ref", "e").count()
+    placed = Window.partitionBy("ref", "rep").orderBy("count", "e")
+    entries = entries.join(common, ["ref", "e"]).withColumn("at", F.row_number().over(placed)).drop("count")
+    # least overlap that any partner can do with: over half of what is left of d for either
+    # side of a far member, all but the allowed difference for a far member itself
+    least = F.greatest(F.lit(1.0), F.when(F.col("far"), F.col("d") - share * F.col("n") * (1 + 100 / percent)).otherwise(F.col("d") * (1 - share) / 2))
+    entries = entries.where(F.col("at") <= F.col("d") - F.ceil(least - 1e-6) + 1)
+    one, two = (entries.select("ref", "e", *[F.col(x).alias(f"{x}_{y}") for x in ("rep", "c", "n", "d", "far", "at")]) for y in "uv")
+    need = F.ceil((F.col("d_u") + F.col("d_v") - share * (F.col("n_u") + F.col("n_v"))) / 2 - 1e-6)
+    fits = (F.col("at_u") <= F.col("d_u") - need + 1) & (F.col("at_v") <= F.col("d_v") - need + 1)
+    once = ~F.col("far_v") | (F.col("rep_u") < F.col("rep_v"))
+    pairs = one.where("far_u").join(two, ["ref", "e"]).where((F.col("c_u") != F.col("c_v")) & once & fits).select("ref", "rep_u", "rep_v").distinct()
+    whole = lambda y: apart.select("ref", *[F.col(x).alias(f"{x}_{y}") for x in ("rep", "n", "d", "apart")])
+    pairs = pairs.join(whole("u"), ["ref", "rep_u"]).join(whole("v"), ["ref", "rep_v"])
+    unlike = F.col("d_u") + F.col("d_v") - 2 * F.size(F.array_intersect("apart_u", "apart_v"))
+    pairs = pairs.where(unlike * (100 + percent) <= (F.col("n_u") + F.col("n_v")) * (100 - percent))
+    return linked.unionByName(pairs.select(F.col("rep_u").alias("u"), F.col("rep_v").alias("v")))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
@@ -216,16 +270,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
     links = stored(check(best))
     comps = stored(components(links))
 
-    others = unlike(hubs.select(F.col("hub").alias("u"), F.col("rep").alias("v")), comps)
-    links = stored(links.unionByName(check(others)))
-    comps = stored(components(links))
-
     placed = members.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("c"))
-    mixed = placed.groupBy("band").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select("band")
-    placed = placed.join(mixed, "band")
-    left, right = (placed.select("band", F.col("rep").alias(x), F.col("c").alias(f"c_{x}")) for x in "uv")
+    mixed = placed.groupBy("band").agg(F.min("c").alias("ref"), F.max("c").alias("other"), F.count("*").alias("size")).where("ref <> other").drop("other")
+    placed = stored(placed.join(mixed, "band"))
+    small = placed.where(F.col("size") <= CROWDED)
+    left, right = (small.select("band", F.col("rep").alias(x), F.col("c").alias(f"c_{x}")) for x in "uv")
     rest = left.join(right, "band").where("u < v and c_u <> c_v").select("u", "v").distinct()
-    found = stored(check(rest))
+    crowded = placed.where(F.col("size") > CROWDED).select("ref", "rep", "c").distinct()
+    found = stored(check(rest).unionByName(crowded_links(crowded, texts, size, percent)))
     if not found.isEmpty():
         comps = stored(components(links.unionByName(found)))
 
