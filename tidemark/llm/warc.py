@@ -1,8 +1,8 @@
 """WARC archives with a shared Zstandard dictionary, written and read by tasks.
 
 Layout of an archive: a skippable frame (type 0x184D2A5D) that holds the dictionary, then one
-Zstandard frame per WARC record. The dictionary is trained on at most ``SAMPLE`` records, those
-with the least hash of their id, each cut to ``SAMPLE_CHARS``: a bounded, documented sample.
+Zstandard frame per WARC record. The dictionary is trained on about ``SAMPLE`` records, chosen
+by a hash of their id, each cut to ``SAMPLE_CHARS``: a bounded, documented sample.
 
 Pages whose payloads are equal and have ``revisit_from`` bytes or more are stored once, at the
 largest ``page_id``; the others become revisit records that hold the HTTP header only. Equality
@@ -117,18 +117,17 @@ def records_of(stream: io.BufferedReader) -> Iterator[tuple]:
 
 
 # --- dictionary --------------------------------------------------------------------
-def train(typed: DataFrame, date: str) -> bytes:
-    """A dictionary from a bounded sample of the records to archive; empty for an empty table."""
+def train(pages: DataFrame, date: str) -> bytes:
+    """A dictionary from a bounded sample of the pages to archive; empty for an empty table."""
     import zstandard
 
-    rows = (
-        typed.where("record_type = 'response'")
-        .select("page_id", "url", F.substring("html", 1, SAMPLE_CHARS).alias("html"), "payload_digest")
-        .orderBy(F.xxhash64("page_id"), "payload_digest")
-        .limit(SAMPLE)
-        .collect()
-    )
-    samples = [record(r.page_id, r.url, r.html.encode(), len(r.html), r.payload_digest, "response", None, date) for r in rows]
+    pages = pick(pages, page_id="page_id", url="url", html="html")
+    steps = 1 << 20
+    keep = min(steps, -(-SAMPLE * steps // max(pages.count(), 1)))
+    sample = pages.where(F.pmod(F.xxhash64("page_id"), F.lit(steps)) < keep)
+    rows = sample.select("page_id", "url", F.substring(F.coalesce("html", F.lit("")), 1, SAMPLE_CHARS).alias("html")).limit(2 * SAMPLE).collect()
+    rows = sorted(rows, key=lambda r: (r.page_id is None, r.page_id, r.html))
+    samples = [record(r.page_id, r.url, r.html.encode(), len(r.html), hashlib.sha1(r.html.encode()).hexdigest(), "response", None, date) for r in rows]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too few records to train on: their text itself serves
@@ -138,7 +137,7 @@ def train(typed: DataFrame, date: str) -> bytes:
 def write_archives(pages: DataFrame, folder: str, revisit_from: int = REVISIT_FROM, archive_bytes: int = ARCHIVE_BYTES, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """Writes the archives and returns their list ``(path, records)``."""
     typed = with_types(pages, revisit_from)
-    dictionary = train(typed, date)
+    dictionary = train(pages, date)
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
