@@ -51,13 +51,12 @@ def _(spark, sf):
 @query(
     "prj03_prune_columns",
     sql(
-        f"SELECT {', '.join(fixed.KEPT_FEATURE_COLUMNS)}, longitude, latitude FROM bldg "
-        "WHERE occtype = 'RES4' AND found_type = 'zzz'",
+        f"SELECT {', '.join(fixed.KEPT_FEATURE_COLUMNS)}, longitude, latitude FROM bldg",
         "bldg",
     ),
 )
 def _(spark, sf):
-    return inv.prune_columns(b.bldg(spark, sf)).where("occtype = 'RES4' AND found_type = 'zzz'")
+    return inv.prune_columns(b.bldg(spark, sf))
 
 
 @query(
@@ -336,12 +335,16 @@ RANGES = "CASE WHEN l_linenumber < 4 THEN concat('0.', CAST(l_suppkey % 90 + 10
 
 @query(
     "prj21_range_pct",
-    "SELECT given, round(CASE WHEN v > 1 THEN v / 100 ELSE v END, 6) AS pct, count(*) AS n FROM (SELECT given, "
-    f"try_cast(nullif(regexp_extract(given, '([0-9.]+)', 1), '') AS DOUBLE) AS v FROM (SELECT {RANGES} AS given FROM lineitem)) GROUP BY 1, 2",
+    "SELECT 'number' AS kind, CAST(l_quantity AS VARCHAR) AS given, CAST(l_quantity AS DOUBLE) AS pct, count(*) AS n FROM lineitem GROUP BY ALL UNION ALL SELECT 'text', given, round(CASE WHEN v > 1 THEN v / 100 ELSE v END, 6) AS pct, count(*) AS n FROM (SELECT given, "
+    f"try_cast(nullif(regexp_extract(given, '([0-9.]+)', 1), '') AS DOUBLE) AS v FROM (SELECT {RANGES} AS given FROM lineitem)) GROUP BY 2, 3",
 )
 def _(spark, sf):
+    """Ranges given as text, and numeric cells, which pass as they are."""
     df = lineitem(spark, sf, {"given": RANGES})
-    return counted(df, "given", F.round(text.range_pct(F.col("given")), 6).alias("pct"))
+    texts = counted(df, F.lit("text").alias("kind"), "given", F.round(text.range_pct(F.col("given")), 6).alias("pct"))
+    number = b.table(spark, sf, LI).withColumn("cell", F.col("l_quantity").cast("double"))
+    cells = counted(number, F.lit("number").alias("kind"), F.col("cell").cast("string").alias("given"), text.range_pct(F.col("cell"), numeric=True).alias("pct"))
+    return cells.unionByName(texts)
 
 
 @query(
@@ -349,11 +352,11 @@ def _(spark, sf):
     "SELECT coalesce(d.key, o.key) AS key, CASE WHEN o.key IS NOT NULL THEN o.value ELSE d.value END AS value FROM "
     "(SELECT DISTINCT concat('part.', p_partkey % 500) AS key, 'default' AS value FROM part) d FULL JOIN "
     "(SELECT concat('part.', l_partkey % 700) AS key, CASE WHEN count(*) % 4 = 0 THEN NULL ELSE CAST(count(*) AS VARCHAR) END AS value "
-    "FROM lineitem WHERE l_partkey % 3 = 0 GROUP BY 1) o ON d.key = o.key",
+    "FROM lineitem GROUP BY 1) o ON d.key = o.key",
 )
 def _(spark, sf):
     defaults = b.table(spark, sf, "part").selectExpr("concat('part.', p_partkey % 500) AS key", "'default' AS value").distinct()
-    keyed = b.table(spark, sf, LI).where("l_partkey % 3 = 0").groupBy(F.expr("concat('part.', l_partkey % 700)").alias("key"))
+    keyed = b.table(spark, sf, LI).groupBy(F.expr("concat('part.', l_partkey % 700)").alias("key"))
     overrides = keyed.agg(F.expr("CASE WHEN count(*) % 4 = 0 THEN NULL ELSE CAST(count(*) AS STRING) END").alias("value"))
     return naming.overlay_params(defaults, overrides)
 
@@ -440,12 +443,13 @@ def _(spark, sf):
 
 @query(
     "set01_union_states",
-    sql("SELECT state, count(*) AS n, count(ground_elv) AS with_elevation FROM bldg WHERE state IN ('Texas', 'Georgia') GROUP BY 1", "bldg"),
+    sql("SELECT state, count(*) AS n, count(ground_elv) AS with_elevation FROM bldg GROUP BY 1", "bldg"),
 )
 def _(spark, sf):
     df = b.bldg(spark, sf)
-    both = inv.union_states(df.where("state = 'Texas'"), df.where("state = 'Georgia'").select(*reversed(df.columns)))
-    return both.groupBy("state").agg(F.count("*").alias("n"), F.count("ground_elv").alias("with_elevation"))
+    parts = [df.where(F.col("state") == s) for s in ("Texas", "Georgia", "Florida", "South Carolina")]
+    every = inv.union_states(parts[0], parts[1].select(*reversed(df.columns)), *parts[2:])
+    return every.groupBy("state").agg(F.count("*").alias("n"), F.count("ground_elv").alias("with_elevation"))
 
 
 @query(

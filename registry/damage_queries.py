@@ -11,6 +11,8 @@ from tidemark.operators import curves as oc
 from tidemark.operators import damage as od
 from tidemark.operators import inventory as inv
 from tidemark.plans import impact as plan
+from tidemark.session import scratch_dir
+from tidemark.sinks import writers
 
 MAPPING = plan.ENGINE_MAPPING
 
@@ -379,7 +381,7 @@ def _(spark, sf):
     meta = b.meta(spark, sf)
     rows = plan.clipped_inventory(b.bldg(spark, sf), meta)
     located = spatial.grid_position(rows.join(meta, "raster_id"), "Longitude", "Latitude")
-    sampled = spatial.sample_depth(located, b.pixels(spark, sf), meta, salts=4, salt_on="FltyId")
+    sampled = spatial.sample_depth(located, b.pixels(spark, sf), salts=4, salt_on="FltyId")
     return sampled.groupBy("raster_id", "depth_grid").agg(F.count("*").alias("n"))
 
 
@@ -487,4 +489,6 @@ def _(spark, sf):
 )
 def _(spark, sf):
     out = assessed(spark, sf).select("FltyId", "Depth_in_Struc", F.round("BldgLossUSD", 6).alias("BldgLossUSD"))
-    return od.sort_by_depth(out)
+    path = scratch_dir(spark)
+    writers.write_sorted(out, path)
+    return spark.read.option("header", True).schema("FltyId string, Depth_in_Struc double, BldgLossUSD double").csv(path)

@@ -519,9 +519,9 @@ def _(spark, sf):
     return val.prediction_summary(result_file(spark, sf))
 
 
-@query("top01_top_occupancies", sql("SELECT key AS occ, n_rows FROM summary WHERE dimension = 'occ' ORDER BY n_rows DESC, key LIMIT 5", "summary"))
+@query("top01_top_occupancies", sql("SELECT key AS occ, n_rows FROM summary WHERE dimension = 'occ' ORDER BY n_rows DESC, key LIMIT 10", "summary"))
 def _(spark, sf):
-    return val.top_occupancies(val.prediction_summary(result_file(spark, sf)), 5)
+    return val.top_occupancies(val.prediction_summary(result_file(spark, sf)))
 
 
 @query(

@@ -3,6 +3,7 @@ stored sources and sinks (SRC-1..5, SRC-9/11, SNK)."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from registry import base as b
@@ -19,6 +20,7 @@ from tidemark.sinks import writers
 from tidemark.sources import inventory as src
 from tidemark.sources import raster as rs
 from tidemark.sources import tables
+from tidemark.streaming import features
 
 BOUND_COLS = ["raster_id", "xmin", "ymin", "xmax", "ymax"]
 
@@ -71,15 +73,31 @@ def _(spark, sf):
     meta = b.meta(spark, sf)
     rows = plan.clipped_inventory(b.bldg(spark, sf), meta).join(meta, "raster_id")
     located = spatial.grid_position(rows, "Longitude", "Latitude")
-    out = spatial.sample_depth(located, b.pixels(spark, sf), meta)
+    out = spatial.sample_depth(located, b.pixels(spark, sf))
     return out.groupBy("raster_id", "state").agg(
         F.count("*").alias("n"), F.count_if(F.col("depth_grid") > 0).alias("wet"), F.round(F.sum("depth_grid"), 2).alias("depth")
     )
 
 
-@query("spa04_project_utm")
+def utm_sql() -> str:
+    """Forward transverse Mercator of the building places, written from the published series."""
+    a, e2, k = "6378137e0", 0.00669438, "9996e-4"
+    ep = f"{e2 / (1 - e2):.17e}"
+    arc = (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256, 3 * e2 / 8 + 3 * e2**2 / 32 + 45 * e2**3 / 1024, 15 * e2**2 / 256 + 45 * e2**3 / 1024, 35 * e2**3 / 3072)
+    m0, m2, m4, m6 = (f"{v:.17e}" for v in arc)
+    return (
+        "SELECT round(x, -3) AS x_km, round(y, -3) AS y_km, count(*) AS n FROM ("
+        f"SELECT {k} * n * (a + a**3 / 6 * (1 - t + c) + a**5 / 120 * (5 - 18 * t + t**2 + 72 * c - 58 * {ep})) + 5e5 AS x, "
+        f"{k} * (m + n * tan(phi) * (a**2 / 2 + a**4 / 24 * (5 - t + 9 * c + 4 * c**2) + a**6 / 720 * (61 - 58 * t + t**2 + 600 * c - 330 * {ep}))) AS y FROM ("
+        f"SELECT phi, cos(phi) * lam AS a, tan(phi)**2 AS t, {ep} * cos(phi)**2 AS c, {a} / sqrt(1 - {e2!r}e0 * sin(phi)**2) AS n, "
+        f"{a} * ({m0} * phi - {m2} * sin(2 * phi) + {m4} * sin(4 * phi) - {m6} * sin(6 * phi)) AS m FROM ("
+        "SELECT radians(latitude) AS phi, radians(longitude - (6 * (floor((longitude + 180) / 6) + 1) - 183)) AS lam FROM bldg))) GROUP BY ALL"
+    )
+
+
+@query("spa04_project_utm", sql(utm_sql(), "bldg"))
 def _(spark, sf):
-    """Zone and rounded metres of every building place (checked by known points in tests)."""
+    """Rounded metres of every building place in its own zone."""
     out = spatial.project_utm(b.bldg(spark, sf).select("longitude", "latitude"), "longitude", "latitude")
     return out.groupBy(F.round("utm_x", -3).alias("x_km"), F.round("utm_y", -3).alias("y_km")).agg(F.count("*").alias("n"))
 
@@ -192,7 +210,7 @@ b.cte(
     "expected",
     "SELECT n_name AS state_name, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS county, concat('S', n_nationkey // 3) AS state FROM nation",
 )
-b.cte("loaded", "SELECT DISTINCT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS county FROM customer WHERE c_nationkey % 4 <> 1 AND c_nationkey < 21")
+b.cte("loaded", "SELECT DISTINCT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS county FROM customer WHERE c_nationkey % 4 <> 1")
 
 
 @query(
@@ -211,7 +229,7 @@ b.cte("loaded", "SELECT DISTINCT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS c
 def _(spark, sf):
     key = "lpad(CAST({} AS STRING), 2, '0') AS county"
     expected = b.table(spark, sf, "nation").selectExpr("concat('S', CAST(n_nationkey DIV 3 AS STRING)) AS state", key.format("n_nationkey"))
-    loaded = b.table(spark, sf, "customer").where("c_nationkey % 4 <> 1 AND c_nationkey < 21").selectExpr(key.format("c_nationkey"))
+    loaded = b.table(spark, sf, "customer").where("c_nationkey % 4 <> 1").selectExpr(key.format("c_nationkey"))
     return boundaries.ingest_completeness(expected, loaded, b.box_edges(spark, sf), spatial.raster_bounds(b.meta(spark, sf)))
 
 
@@ -335,9 +353,57 @@ def _(spark, sf):
 
 @query("src05_feature_collection", sql(f"SELECT {FEATURE_SUMS} FROM bldg GROUP BY 1", "bldg"))
 def _(spark, sf):
-    line = F.concat(F.lit('{"type":"FeatureCollection","features":['), "value", F.lit("]}"))
-    docs = src.feature_lines(whole_stories(spark, sf)).select(line.alias("value"))
-    return feature_sums(src.parse_feature_collections(docs))
+    """Stored documents of many features each: one file is one document."""
+    lines = src.feature_lines(whole_stories(spark, sf).repartition(16))
+    head, tail = F.lit('{"type":"FeatureCollection","features":['), F.lit("]}")
+    docs = lines.groupBy(F.spark_partition_id().alias("part")).agg(F.concat(head, F.array_join(F.collect_list("value"), ","), tail).alias("value"))
+    path = scratch_dir(spark)
+    docs.repartition(16, "part").select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return feature_sums(src.read_feature_collection(spark, path))
+
+
+@query("str01_feature_stream", sql(f"SELECT {ENGINE_SUMS} FROM exposure GROUP BY 1, 2", "exposure"))
+def _(spark, sf):
+    """Feature files as a stream through the stateless operators, until none is left."""
+    path = scratch_dir(spark)
+    src.feature_lines(b.bldg(spark, sf).withColumn("num_story", F.col("num_story").cast("long"))).write.text(f"{path}/in")
+    rows = features.engine_stream(features.read_feature_stream(spark, f"{path}/in"))
+    features.write_feature_stream(rows, f"{path}/out", f"{path}/state").awaitTermination()
+    return engine_sums(spark.read.parquet(f"{path}/out"))
+
+
+@query(
+    "snk07_write_mode",
+    sql("SELECT state, count(*) AS n, true AS refused FROM bldg GROUP BY 1", "bldg"),
+)
+def _(spark, sf):
+    """A second write is refused unless it is told to replace; then the rows are there once."""
+    path, df = scratch_dir(spark), b.bldg(spark, sf)
+    writers.write_inventory(df, path)
+    try:
+        writers.write_inventory(df, path)
+        refused = False
+    except AnalysisException:
+        refused = True
+    writers.write_inventory(df, path, overwrite=True)
+    return src.read_inventory(spark, path).groupBy("state").agg(F.count("*").alias("n")).withColumn("refused", F.lit(refused))
+
+
+@query(
+    "prj02_set03_schema_check",
+    sql("SELECT 'absent_one,zz_absent' AS missing, true AS raised, count(*) AS n FROM bldg", "bldg"),
+)
+def _(spark, sf):
+    """Required names that the table lacks, reported and raised."""
+    df = b.bldg(spark, sf)
+    wanted = [*df.columns, "zz_absent", "absent_one"]
+    try:
+        inv.check_schema(df, wanted)
+        raised = False
+    except ValueError:
+        raised = inv.check_schema(df, wanted, "report") == inv.schema_difference(df, wanted)
+    names = ",".join(inv.schema_difference(df, wanted))
+    return df.agg(F.count("*").alias("n")).select(F.lit(names).alias("missing"), F.lit(raised).alias("raised"), "n")
 
 
 @query("src09_read_svi", sql("SELECT FIPS, ST_ABBR, COUNTY, E_TOTPOP, EP_GROUPQ FROM svi", "svi"))

@@ -136,7 +136,7 @@ def test_row_statuses(spark, lookups):
     assert (counters.processed, counters.errors, counters.exposed, counters.unmatched) == (7, 2, 2, 1)
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
         st.tuples(
@@ -250,12 +250,46 @@ def test_plan_has_no_python_and_broadcasts_lookups(spark, sf):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_lookup_side_above_limit_is_not_hinted(spark):
-    from tidemark.operators.joins import checked_broadcast
+def test_nothing_is_hinted_and_no_job_runs_while_planning(spark, sf):
+    """Without automatic broadcast the same plan is built, from shuffled joins only."""
+    from registry import damage_queries as q
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = q.assessed(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Broadcast" not in plan and "CartesianProduct" not in plan
+
 
-    assert "broadcast" in checked_broadcast(spark.range(10))._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in checked_broadcast(spark.range(10), max_rows=5)._jdf.queryExecution().logical().toString().lower()
+def test_first_rate_of_a_key_wins(spark):
+    from tidemark.operators.curves import one_per_key
 
+    rates = spark.createDataFrame([("A", 2.0, 5), ("A", 1.0, 3), ("B", 7.0, 9)], "DebrisID string, Finishes double, pos long")
+    assert {(r[0], r[1]) for r in one_per_key(rates, ["DebrisID"]).collect()} == {("A", 1.0), ("B", 7.0)}
 
-def test_lookups_sides_are_built_once(lookups):
-    assert isinstance(lookups, Lookups) and lookups.debris_side() is lookups.debris_side()
+
+def test_rows_without_a_place_and_huge_values_are_kept(spark, sf):
+    """Blank, unreadable, impossible and huge cells: one row per raster each, never an abort."""
+    from registry import base as b
+    from registry import damage_queries as q
+    from tidemark.operators import damage as od
+    from tidemark.plans import impact as plan
+
+    good = plan.clipped_inventory(b.bldg(spark, sf), b.meta(spark, sf)).drop("raster_id").first().asDict()
+    odd = [("a", "Latitude", None), ("b", "Latitude", float("nan")), ("c", "Longitude", 1e12), ("d", "Cost", 1e30), ("e", "Longitude", float("-inf")), ("f", "Cost", None), ("g", "Area", 100.0)]
+    rows = [tuple({**good, "FltyId": i, c: v}.values()) for i, c, v in odd]
+    kinds = dict(plan.clipped_inventory(b.bldg(spark, sf), b.meta(spark, sf)).drop("raster_id").dtypes)
+    inventory = spark.createDataFrame(rows, ", ".join(f"`{c}` {k}" for c, k in kinds.items()))
+    out = od.run_damage(inventory, q.MAPPING, "CoastalA", b.meta(spark, sf), b.pixels(spark, sf), b.lookups(spark))
+    found = {}
+    for r in out.select("FltyId", "status", "GridName", "BldgLossUSD").collect():
+        found.setdefault(r["FltyId"], []).append(r)
+    rasters = b.meta(spark, sf).count()
+    status = {i: {r["status"] for r in rs} for i, rs in found.items()}
+    assert set(found) == set("abcdefg")
+    assert all(len(found[i]) == rasters for i in "abce")
+    assert status["a"] == status["b"] == status["f"] == {"missing_required"}
+    assert status["c"] == status["e"] == {"row_error"}
+    counted = od.run_counters(out).agg({"processed": "sum", "missing_required": "sum"}).first()
+    assert counted["sum(processed)"] == sum(map(len, found.values()))

@@ -1,7 +1,6 @@
 """Every registered query against its SQL on the same tables."""
 
 import importlib.util
-import os
 from pathlib import Path
 
 import pytest
@@ -22,9 +21,7 @@ def con(sf):
     return c
 
 
-# covered in one by dmg19_run_damage; TEST_ALL_QUERIES=1 runs them one by one as well
-COVERED = ("dmg05", "dmg09", "dmg10", "dmg11", "dmg12_curve_override_off", "dmg13", "dmg14", "dmg15", "dmg16", "dmg17", "snk03")
-NAMES = [n for n in catalog.QUERIES if os.environ.get("TEST_ALL_QUERIES") or not n.startswith(COVERED)]
+NAMES = [n for n in catalog.QUERIES]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -39,7 +36,9 @@ def test_query(name, spark, sf, con):
 
 def test_every_query_reads_a_given_table(spark, sf):
     """Plans reach the stored tables, so work grows with the data."""
-    for name in ("spa11_raster_codes", "src06_curve_table", "imp16_population_flow"):
+    for name in NAMES:
+        if name.startswith(("src", "snk", "str")):
+            continue  # these read back what they wrote from a given table
         plan = catalog.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
         assert "parquet" in plan.lower() or "Relation" in plan
 

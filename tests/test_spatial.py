@@ -34,7 +34,7 @@ def sample(spark, places, values, m=None, **kw):
     m = meta(spark) if m is None else m
     rows = spatial.every_raster(points(spark, places), m, [r.raster_id for r in m.select("raster_id").collect()])
     located = spatial.grid_position(rows, "longitude", "latitude")
-    out = spatial.sample_depth(located, pixels(spark, values), m, **kw)
+    out = spatial.sample_depth(located, pixels(spark, values), **kw)
     return {r.id: r.depth_grid for r in out.collect()}
 
 
@@ -57,7 +57,7 @@ def test_utm_known_points(spark):
     assert [r[0] for r in zones.select(geo.utm_zone(F.col("lat"), F.col("lon"))).collect()] == [32, 31, 33, 35, 37, 60, 1]
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.floats(-179, 179), st.floats(-80, 80)), min_size=1, max_size=30))
 def test_utm_round_trip(spark, places):
     df = points(spark, places).withColumn("zone", geo.utm_zone(F.col("latitude"), F.col("longitude")))
@@ -84,7 +84,7 @@ def test_projected_raster_building(spark):
     assert spatial.cell_prefilter(place, cells, 0.015625).count() == 1
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.sets(st.tuples(st.integers(0, 9), st.integers(0, 9)), min_size=1, max_size=12),
     st.lists(st.tuples(st.floats(-82.0999, -80.9), st.floats(26.9, 28.0999)), min_size=1, max_size=40),
@@ -213,3 +213,37 @@ def test_integer_raster_codes(spark, tmp_path):
     feet = {r.value for r in spatial.remap_codes(px, unmapped="drop").collect()}
     assert feet == {1.0, 3.0, 6.0, 9.0}
     assert spatial.remap_codes(px, nodata=-1).where("value = -1").count() == px.where("value NOT IN (1,2,3,4,5)").count()
+
+
+def test_stored_inventory_is_read_by_range_and_state(spark, sf, tmp_path):
+    """Extents and states of an event reach the scan; a far state is not read."""
+    from registry import base as b
+    from tidemark.plans import impact as plan
+    from tidemark.sinks import writers
+    from tidemark.sources.inventory import read_inventory
+
+    path = str(tmp_path / "inventory")
+    rows = b.bldg(spark, sf).withColumn("num_story", F.col("num_story").cast("long"))
+    far = rows.withColumns({"state": F.lit("Texas"), "latitude": F.col("latitude") + 20})
+    writers.write_inventory(rows.where("state <> 'Texas'").unionByName(far), path)
+    stored = read_inventory(spark, path)
+    near = plan.clipped_inventory(stored, b.meta(spark, sf), states=["Florida", "Georgia"])
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    text = near._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in text.splitlines() if "PushedFilters" in line and "val_struct" in line)
+    assert "GreaterThanOrEqual(latitude" in scan and "LessThanOrEqual(longitude" in scan
+    assert "state" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert {r["state"] for r in near.select("state").distinct().collect()} == {"Florida", "Georgia"}
+    every = plan.clipped_inventory(stored, b.meta(spark, sf))
+    assert every.where("state = 'Texas'").count() == 0
+    # an id that also stands in a state left out may lose its best row to that one
+    assert 0 < every.where("state in ('Florida', 'Georgia')").count() <= near.count()
+
+
+def test_raster_without_extent_is_refused(spark, sf):
+    from registry import base as b
+    from tidemark.plans import impact as plan
+
+    unknown = b.meta(spark, sf).withColumns({"projected": F.lit(True), "zone": F.lit(None).cast("int")})
+    with pytest.raises(ValueError):
+        plan.clipped_inventory(b.bldg(spark, sf), unknown)

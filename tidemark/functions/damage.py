@@ -48,8 +48,8 @@ def specific_occupancy(occ: Column, stories: Column, foundation: Column) -> Colu
 
 
 def truncated(c: Column) -> Column:
-    """Drop the fraction, toward zero."""
-    return c.cast("long").cast("double")
+    """Drop the fraction, toward zero. NULL where the value is no number of that size."""
+    return c.try_cast("long").cast("double")
 
 
 def content_multiplier(occ: Column) -> Column:

@@ -22,21 +22,25 @@ _EP2 = ECC2 / (1 - ECC2)
 
 
 def pixel_index(offset: Column, size: Column) -> Column:
-    """Grid index of an offset from the origin, truncated toward zero.
+    """Grid index of an offset from the origin, truncated toward zero; NULL beyond any grid.
 
     Truncation maps points less than one pixel outside the origin edge to index 0.
     """
-    return (offset / size).cast("int")
+    return (offset / size).try_cast("int")
 
 
 def cell_index(coordinate: Column, cell: float) -> Column:
-    """Index of the coarse square cell holding a coordinate."""
-    return F.floor(coordinate / F.lit(float(cell))).cast("int")
+    """Index of the coarse square cell holding a coordinate; NULL for what is no position."""
+    return F.floor(coordinate / F.lit(float(cell))).try_cast("int")
 
 
 def cell_id(lon: Column, lat: Column, cell: float) -> Column:
     """One 64-bit id of the coarse square cell holding a point."""
-    x, y = cell_index(lon, cell), cell_index(lat, cell)
+    return cell_code(cell_index(lon, cell), cell_index(lat, cell))
+
+
+def cell_code(x: Column, y: Column) -> Column:
+    """One 64-bit id of two cell indexes."""
     return x.cast("long") * F.lit(1 << 32) + (y.cast("long") + F.lit(1 << 31))
 
 

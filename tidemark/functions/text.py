@@ -209,7 +209,12 @@ def raster_name(storm_name: Column, year: Column, advisory: Column) -> Column:
     )
 
 
-def range_pct(c: Column) -> Column:
-    """First number of a text such as ``0.11 - 0.34``; above 1 it is read as percent."""
+def range_pct(c: Column, numeric: bool = False) -> Column:
+    """First number of a text such as ``0.11 - 0.34``; above 1 it is read as percent.
+
+    A numeric cell (``numeric``) is a value already and passes unchanged.
+    """
+    if numeric:
+        return c.cast("double")
     first = F.regexp_extract(c, r"([0-9.]+)", 1).try_cast("double")
     return F.when(first > 1.0, first / 100.0).otherwise(first)

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import geo
-from tidemark.operators.joins import checked_broadcast
 
 EDGE = ["x1", "y1", "x2", "y2"]
 
@@ -87,7 +86,7 @@ def points_in_boundaries(
 ) -> DataFrame:
     """Pairs of point and containing boundary (even-odd rule)."""
     px, py = F.col(lon), F.col(lat)
-    cover = checked_broadcast(cell_cover(edges, cell))
+    cover = cell_cover(edges, cell)
     crossings = F.size(F.filter("edges", lambda e: geo.crosses_left_of(px, py, e)))
     placed = points.withColumn("cx", geo.cell_index(px, cell)).withColumn("cy", geo.cell_index(py, cell))
     return (
@@ -120,7 +119,7 @@ def assign_county(
 
     hit = F.array_min(F.transform(F.filter("cands", holds), lambda k: k["geo_id"]))
     placed = points.withColumn("cx", geo.cell_index(px, cell)).withColumn("cy", geo.cell_index(py, cell))
-    return placed.join(checked_broadcast(cover), ["cx", "cy"], "left").select(*points.columns, hit.alias("geo_id"))
+    return placed.join(cover, ["cx", "cy"], "left").select(*points.columns, hit.alias("geo_id"))
 
 
 def boundaries_in_extent(edges: DataFrame, bounds: DataFrame, cell: float = 1.0) -> DataFrame:
@@ -138,7 +137,7 @@ def boundaries_in_extent(edges: DataFrame, bounds: DataFrame, cell: float = 1.0)
     )
     ends = [F.col(c) for c in EDGE]
     meets = geo.edge_meets_box(*ends, F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"))
-    by_edge = placed.join(checked_broadcast(listed), ["cx", "cy"]).where(meets).select("raster_id", "geo_id")
+    by_edge = placed.join(listed, ["cx", "cy"]).where(meets).select("raster_id", "geo_id")
     by_corner = points_in_boundaries(box, edges, "xmin", "ymin", cell).select("raster_id", "geo_id")
     return by_edge.union(by_corner).distinct()
 

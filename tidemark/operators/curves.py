@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed
-from tidemark.operators.joins import checked_broadcast, kept_broadcast
 
 
 KINDS = {"building": "b", "content": "k", "inventory": "i"}
@@ -20,6 +19,16 @@ def first_match(df: DataFrame, keys: list[str], values: list[str], pos: str = "p
     return df.groupBy(*keys).agg(packed).select(*keys, "_v.*")
 
 
+def position(table: DataFrame) -> list[str]:
+    return ["pos"] if "pos" in table.columns else []
+
+
+def one_per_key(rates: DataFrame, keys: list[str]) -> DataFrame:
+    """First row per key by ``pos``. A table without positions is taken to have one row per key."""
+    values = [c for c in rates.columns if c not in (*keys, "pos")]
+    return first_match(rates, keys, values) if "pos" in rates.columns else rates.dropDuplicates(keys)
+
+
 def default_curves(curves: DataFrame) -> DataFrame:
     """One row per (zone, key) with the curve id and points of every kind.
 
@@ -56,7 +65,8 @@ def curve_steps(df: DataFrame, keys: list[str], curves: list[str]) -> DataFrame:
 
 @dataclass
 class Lookups:
-    """The tables a damage run joins to, each behind one size check per instance.
+    """The tables a damage run joins to. None is hinted: the planner broadcasts by byte statistics
+    and adaptive execution by measured bytes, or splits a hot key of a shuffled join.
 
     ``curves``: ``kind, zone, key, ddf_id, curve, pos``; ``library`` (user-selectable
     curves): ``kind, ddf_id, occupancy, curve, pos``; ``debris``: ``DebrisID, Finishes,
@@ -69,30 +79,24 @@ class Lookups:
     restoration: DataFrame
     sales: DataFrame
     library: DataFrame | None = None
-    _sides: dict = field(default_factory=dict, repr=False)
-
-    def _side(self, name: str, source: DataFrame, side: DataFrame) -> DataFrame:
-        if name not in self._sides:
-            self._sides[name] = kept_broadcast(side, source)
-        return self._sides[name]
 
     def default_side(self) -> DataFrame:
         wide = default_curves(self.curves)
         ids = [f"{p}_id" for p in KINDS.values()]
         steps = curve_steps(wide, ["zone", "SOID", *ids], [f"{p}_curve" for p in KINDS.values()])
-        return self._side("curves", self.curves, steps)
+        return steps
 
     def debris_side(self) -> DataFrame:
-        rates = self.debris.select("DebrisID", "Finishes", "Structure", "Foundation")
-        return self._side("debris", self.debris, rates.dropDuplicates(["DebrisID"]))
+        rates = self.debris.select("DebrisID", "Finishes", "Structure", "Foundation", *position(self.debris))
+        return one_per_key(rates, ["DebrisID"])
 
     def restoration_side(self) -> DataFrame:
-        days = self.restoration.select("RestFnID", "Min_Restor_Days", "Max_Restor_Days")
-        return self._side("restoration", self.restoration, days.dropDuplicates(["RestFnID"]))
+        days = self.restoration.select("RestFnID", "Min_Restor_Days", "Max_Restor_Days", *position(self.restoration))
+        return one_per_key(days, ["RestFnID"])
 
     def sales_side(self) -> DataFrame:
-        sales = self.sales.select(F.col("Occupancy").alias("f_occ"), "AnnualSalesPerSqFt", "BusinessInvPctofSales")
-        return self._side("sales", self.sales, sales.dropDuplicates(["f_occ"]))
+        sales = self.sales.select(F.col("Occupancy").alias("f_occ"), "AnnualSalesPerSqFt", "BusinessInvPctofSales", *position(self.sales))
+        return one_per_key(sales, ["f_occ"])
 
     def library_side(self, kind: str) -> DataFrame:
         p = KINDS[kind]
@@ -103,11 +107,11 @@ class Lookups:
             F.col("curve").alias(f"u{p}_curve"),
         )
         steps = curve_steps(named, [f"u{p}_key", f"u{p}_occ"], [f"u{p}_curve"])
-        return self._side(f"library:{kind}", self.library, steps)
+        return steps
 
 
 def curve_lookup(df: DataFrame, curves: DataFrame, kind: str) -> DataFrame:
     """Left lookup of one kind by ``zone`` and ``SOID``: adds ``ddf_id`` and ``curve``."""
     one = first_match(curves.where(F.col("kind") == kind), ["zone", "key"], ["ddf_id", "curve"])
-    return df.join(checked_broadcast(one.withColumnRenamed("key", "SOID"), curves), ["zone", "SOID"], "left")
+    return df.join(one.withColumnRenamed("key", "SOID"), ["zone", "SOID"], "left")
 

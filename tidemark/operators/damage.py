@@ -279,6 +279,8 @@ def run_damage(
 
     One plan serves all rasters. ``rasters`` restricts the run to named ones;
     ``clip=False`` also returns the dry rows outside each named raster's extent.
+    Rows whose place is missing or unreadable are in no extent; they come once per raster,
+    as ``missing_required`` or ``row_error``.
     The input columns are kept; ``flc`` and ``status`` are added to the results.
     """
     if rasters is not None:
@@ -287,13 +289,20 @@ def run_damage(
         raster_pixels = raster_pixels.where(F.col("raster_id").isin(names))
     elif not clip:
         raise ValueError("clip=False needs the raster names")
+    kinds, names_of = dict(inventory.dtypes), inv.normalize_field_map(mapping)
+    lon, lat = names_of["Longitude"], names_of["Latitude"]
+    if clip and kinds.get(lon) == kinds.get(lat) == "double":
+        inventory = spatial.near_rasters(inventory, spatial.raster_bounds(raster_meta), f"`{lon}`", f"`{lat}`")
     rows = inv.apply_field_map(inventory, mapping)
     if clip:
-        placed = spatial.bbox_join(rows, spatial.raster_bounds(raster_meta), "f_lon", "f_lat")
+        # what has no readable place cannot be clipped: such rows are reported once per raster
+        blank = F.col("f_missing") & ((F.col("f_lat") == 0) | (F.col("f_lon") == 0))
+        placed = spatial.bbox_join(rows, spatial.raster_bounds(raster_meta), "f_lon", "f_lat", nowhere=blank)
+        placed = placed.withColumns({"f_lat": spatial.on_earth("f_lat", 90), "f_lon": spatial.on_earth("f_lon", 360)})
     else:
         placed = spatial.every_raster(rows, raster_meta, names)
     located = spatial.grid_position(placed, "f_lon", "f_lat", utm_zone)
-    sampled = spatial.sample_depth(located, raster_pixels, raster_meta, salts, "f_id")
+    sampled = spatial.sample_depth(located, raster_pixels, salts, "f_id")
     return assess(sampled, inventory.columns, mapping, flood_class, lookups, override, qc)
 
 

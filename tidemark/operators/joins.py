@@ -5,36 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A lookup side above this many rows is never hinted; Catalyst and AQE then choose.
-BROADCAST_ROW_LIMIT = 100_000
-
-
-def checked_broadcast(df: DataFrame, source: DataFrame | None = None, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only after counting that the side is small.
-
-    ``source`` is a cheaper frame with at least as many rows, such as the table that
-    ``df`` de-duplicates. The count stops at ``max_rows + 1``. A larger side is
-    returned without a hint: the join is then a shuffled one, which adaptive execution
-    can still turn or split by measured size.
-
-    The check matters where Spark has no size statistics (JDBC, local rows): without
-    it, a 200-row lookup would shuffle the buildings by a few hot keys.
-    """
-    counted = df if source is None else source
-    return F.broadcast(df) if counted.limit(max_rows + 1).count() <= max_rows else df
-
-
-def kept_broadcast(df: DataFrame, source: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """:func:`checked_broadcast` for a lookup that many plans reuse.
-
-    A small side is persisted once it is known to be small, so that its preparation
-    (de-duplication, pivoting) is not repeated in each plan. It is a cache over the
-    source: a lost executor means recomputing a few rows.
-    """
-    if source.limit(max_rows + 1).count() > max_rows:
-        return df
-    return F.broadcast(df.coalesce(1).persist())
-
 
 def salted(df: DataFrame, seed: Column, salts: int) -> DataFrame:
     """Add ``salt`` so that rows of one hot key land in ``salts`` partitions."""

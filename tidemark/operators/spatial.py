@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed, geo
-from tidemark.operators.joins import checked_broadcast, replicated, salted
+from tidemark.operators.joins import replicated, salted
 
 EDGE_SAMPLES = 21
 BOUNDS = ["xmin", "ymin", "xmax", "ymax"]
@@ -62,27 +62,59 @@ def _cells_of_box(cell: float) -> tuple[Column, Column]:
     )
 
 
+def near_rasters(rows: DataFrame, bounds: DataFrame, lon: str = "longitude", lat: str = "latitude", tile: float = 10.0, most: int = 32) -> DataFrame:
+    """Rows in the merged extents of the rasters, as plain ranges that a stored table can skip by.
+
+    Rasters are merged per ``tile`` of degrees, so distant storms keep ranges of their own; where that
+    leaves more than ``most`` of them, one extent serves all. Only these few boxes reach the driver.
+    This narrows the scan and decides nothing: the join with the extents stays exact. Rows without a
+    readable place stay.
+    """
+    corner = [F.floor(F.col(c) / tile) for c in ("xmin", "ymin")]
+    ends = [F.min("xmin"), F.min("ymin"), F.max("xmax"), F.max("ymax"), F.count_if(F.col("xmin").isNull())]
+    boxes = bounds.groupBy(*corner).agg(*ends).limit(most + 1).collect()
+    if len(boxes) > most:
+        boxes = bounds.groupBy(F.lit(0), F.lit(0)).agg(*ends).collect()
+    if any(box[6] for box in boxes):
+        raise ValueError("a raster has no extent: its projection is not supported")
+    x, y = F.col(lon), F.col(lat)
+    keep = x.isNull() | y.isNull() | (y > 90) | (y < -90) | (x > 360) | (x < -360)
+    for _, _, xmin, ymin, xmax, ymax, _ in boxes:
+        keep = keep | (y.between(ymin, ymax) & x.between(xmin, xmax))
+    return rows.where(keep)
+
+
+# cell of what has no place on earth
+NOWHERE = -(1 << 63)
+
+
 def bbox_join(
     buildings: DataFrame,
     bounds: DataFrame,
     lon: str = "longitude",
     lat: str = "latitude",
     cell: float = 1.0,
+    nowhere: Column | None = None,
 ) -> DataFrame:
     """Pairs of building and raster with the building inside the raster extent.
 
     Extents are listed per coarse cell, so this is an equi-join on the cell with an
     exact BETWEEN test on top: no nested loop however many rasters there are.
+
+    With ``nowhere``, rows it holds for and rows whose coordinates are NULL or beyond the earth
+    share one more cell that every raster lists: they come once per raster.
     """
     xs, ys = _cells_of_box(cell)
-    listed = bounds.withColumn("_cx", F.explode(xs)).withColumn("_cy", F.explode(ys))
-    placed = buildings.withColumn("_cx", geo.cell_index(F.col(lon), cell)).withColumn(
-        "_cy", geo.cell_index(F.col(lat), cell)
-    )
-    inside = F.col(lon).between(F.col("xmin"), F.col("xmax")) & F.col(lat).between(
-        F.col("ymin"), F.col("ymax")
-    )
-    return placed.join(checked_broadcast(listed, bounds), ["_cx", "_cy"]).where(inside).drop("_cx", "_cy")
+    listed = bounds.withColumn("_xs", xs).withColumn("_ys", ys)
+    cells = F.flatten(F.transform("_xs", lambda x: F.transform("_ys", lambda y: geo.cell_code(x, y))))
+    if nowhere is not None:
+        cells = F.concat(F.coalesce(cells, F.array().cast("array<long>")), F.array(F.lit(NOWHERE)))
+    listed = listed.withColumn("_cell", F.explode(cells)).drop("_xs", "_ys")
+    code = geo.cell_id(on_earth(lon, 360), on_earth(lat, 90), cell)
+    code = code if nowhere is None else F.when(nowhere, F.lit(NOWHERE)).otherwise(code)
+    placed = buildings.withColumn("_cell", F.coalesce(code, F.lit(NOWHERE)))
+    inside = F.col(lon).between(F.col("xmin"), F.col("xmax")) & F.col(lat).between(F.col("ymin"), F.col("ymax"))
+    return placed.join(listed, "_cell").where(inside | (F.col("_cell") == NOWHERE)).drop("_cell")
 
 
 def rasters_over(
@@ -106,13 +138,18 @@ def rasters_over(
     )
     inside = f"transform(filter(_boxes, b -> {lon} BETWEEN b.xmin AND b.xmax AND {lat} BETWEEN b.ymin AND b.ymax), b -> b.raster_id)"
     return (
-        placed.join(checked_broadcast(per_cell, bounds), ["_cx", "_cy"])
+        placed.join(per_cell, ["_cx", "_cy"])
         .withColumn("raster_ids", F.expr(inside))
         .where(F.size("raster_ids") > 0)
         .drop("_cx", "_cy", "_boxes")
     )
 
 
+def on_earth(name: str, most: float) -> Column:
+    """The coordinate, or NULL where no place on earth has it; blank coordinates stay 0."""
+    return F.when(F.abs(name).between(0, most), F.col(name))
+
+
 def every_raster(buildings: DataFrame, meta: DataFrame, raster_ids: Sequence[str]) -> DataFrame:
     """Every building once per named raster, also where it lies outside the extent."""
     ids = F.array(*[F.lit(i) for i in raster_ids])
@@ -168,7 +205,6 @@ def valid_pixels(pixels: DataFrame, meta: DataFrame) -> DataFrame:
 def sample_depth(
     located: DataFrame,
     pixels: DataFrame,
-    meta: DataFrame,
     salts: int = 1,
     salt_on: str | None = None,
 ) -> DataFrame:
@@ -180,15 +216,17 @@ def sample_depth(
     by the hash of ``salt_on``, at the price of repeating the pixels.
     """
     keys = ["raster_id", "r", "c"]
-    depth = valid_pixels(pixels, meta).select(*keys, "value")
-    left = located.drop(*[c for c in META_COLUMNS + BOUNDS if c in located.columns])
+    depth = pixels.where(F.col("value").isNotNull()).select(*keys, "value")
+    # the nodata mark is on each building row already, so no pixel meets the metadata
+    left = located.withColumn("_mark", F.col("nodata"))
+    left = left.drop(*[c for c in META_COLUMNS + BOUNDS if c in left.columns])
     if salts > 1:
         left, depth = salted(left, F.col(salt_on), salts), replicated(depth, salts)
         keys = [*keys, "salt"]
     return (
         left.join(depth, keys, "left")
-        .withColumn("depth_grid", F.when(F.col("in_grid"), F.coalesce(F.col("value"), F.lit(0.0))).otherwise(F.lit(0.0)))
-        .drop("value", "in_grid", "r", "c", "salt")
+        .withColumn("depth_grid", F.when(F.col("in_grid") & ~F.col("value").eqNullSafe(F.col("_mark")), F.coalesce("value", F.lit(0.0))).otherwise(F.lit(0.0)))
+        .drop("value", "in_grid", "r", "c", "salt", "_mark")
     )
 
 
@@ -225,8 +263,8 @@ def wet_cells(
     pixel always finds its cell; ``cover="centre"`` lists the cell of the pixel centre
     only. A stride above 1 samples the wet pixels and may lose wet buildings.
     """
-    wet = every_nth_wet(valid_pixels(pixels, meta).where("value > 0"), stride)
-    grid = wet.join(meta, "raster_id")
+    full = pixels.where("value > 0").join(meta, "raster_id").where(~F.col("value").eqNullSafe(F.col("nodata")))
+    grid = every_nth_wet(full, stride)
 
     # index 0 also serves points just outside the first row or column
     if cover == "centre":

@@ -154,7 +154,8 @@ def validation_report(results: DataFrame, file: str = "") -> DataFrame:
 def accuracy_metrics(df: DataFrame, truth: str, estimate: str, event: str = "event") -> DataFrame:
     """n, RMSE, MAE, R², means; per event and overall (``event`` NULL).
 
-    Built from sums, so it is one rollup with partial aggregation.
+    Built from sums and a merged variance (a difference of raw sums of squares would cancel), so it is
+    one rollup with partial aggregation.
     """
     err = F.col(estimate) - F.col(truth)
     g = F.col(truth)
@@ -167,12 +168,12 @@ def accuracy_metrics(df: DataFrame, truth: str, estimate: str, event: str = "eve
             F.sum(err * err).alias("_sse"),
             F.sum(F.abs(err)).alias("_sae"),
             F.sum(g).alias("_g"),
-            F.sum(g * g).alias("_gg"),
+            F.var_pop(g).alias("_var"),
             F.sum(estimate).alias("_e"),
         )
     )
     n = F.col("n")
-    spread = F.col("_gg") - F.col("_g") * F.col("_g") / n
+    spread = F.col("_var") * n
     return sums.select(
         F.col(event),
         n,

@@ -12,7 +12,6 @@ from tidemark.functions import fixed, impact, text
 from tidemark.operators import damage, geography, population, spatial
 from tidemark.operators import inventory as inv
 from tidemark.operators.curves import Lookups
-from tidemark.operators.joins import checked_broadcast
 
 ENGINE_MAPPING = {
     "UserDefinedFltyId": "FltyId",
@@ -47,6 +46,8 @@ class RunParams:
     override: str = "intended"
     utm_zone: str = "point"
     salts: int = 1
+    # states that the event touches; none means all. Stored partitions of other states are not read.
+    states: Sequence[str] = ()
 
     @classmethod
     def of(cls, overrides: Mapping | None = None) -> RunParams:
@@ -58,7 +59,7 @@ class RunParams:
         return params
 
 
-def clipped_inventory(inventory: DataFrame, raster_meta: DataFrame, policy: str = "strict") -> DataFrame:
+def clipped_inventory(inventory: DataFrame, raster_meta: DataFrame, policy: str = "strict", states: Sequence[str] = ()) -> DataFrame:
     """Engine rows per raster: clip to every extent, complete, de-duplicate, project.
 
     The best row per building is chosen inside each raster extent, as a separate run
@@ -71,12 +72,15 @@ def clipped_inventory(inventory: DataFrame, raster_meta: DataFrame, policy: str
     building and raster, or per building, find their rows in place.
     """
     used = [*fixed.STRICT_REQUIRED_COLUMNS, "val_cont", "cbfips", "state"]
-    rows = inventory.select(*[c for c in used if c in inventory.columns])
+    bounds = spatial.raster_bounds(raster_meta).select("raster_id", *spatial.BOUNDS)
+    if states:
+        inventory = inventory.where(F.col("state").isin(list(states)))
+    # plain ranges on the stored columns, below the cell join, so that row groups are skipped
+    rows = spatial.near_rasters(inventory.select(*[c for c in used if c in inventory.columns]), bounds)
     if policy == "strict":
         rows = inv.require_fields(rows)
     else:
         rows = rows.where(F.col("bid").isNotNull() & F.col("latitude").isNotNull())
-    bounds = spatial.raster_bounds(raster_meta).select("raster_id", *spatial.BOUNDS)
     # the set travels as one text: it sorts and hashes faster than an array
     over = spatial.rasters_over(rows, bounds).withColumn("raster_ids", F.array_join("raster_ids", SEPARATOR))
     first = inv.dedup_inventory(over, ["bid", "raster_ids"]).repartition("bid")
@@ -97,15 +101,15 @@ def damage_by_raster(
 ) -> DataFrame:
     """Stored inventory to per-building, per-raster results with event and advisory."""
     p = params or RunParams()
-    engine = clipped_inventory(inventory, raster_meta, p.policy)
+    engine = clipped_inventory(inventory, raster_meta, p.policy, p.states)
     rows = inv.apply_field_map(engine, ENGINE_MAPPING)
     # event and advisory come from the raster's name, once per raster
     named = raster_meta.withColumns(
         {"event": text.raster_event(F.col("raster_id")), "adv": text.raster_advisory(F.col("raster_id"))}
     )
-    placed = rows.join(checked_broadcast(named, raster_meta), "raster_id")
+    placed = rows.join(named, "raster_id")
     located = spatial.grid_position(placed, "f_lon", "f_lat", p.utm_zone)
-    sampled = spatial.sample_depth(located, raster_pixels, raster_meta, p.salts, "f_id")
+    sampled = spatial.sample_depth(located, raster_pixels, p.salts, "f_id")
     keep = [c for c in engine.columns if c != "raster_id"] + ["event", "adv"]
     return damage.assess(sampled, keep, ENGINE_MAPPING, p.flood_class, lookups, p.override)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,19 +29,20 @@ def get_session(app_name: str = "tidemark", master: str | None = None, **conf: s
         builder = builder.master(master)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    given = {key.replace("__", "."): value for key, value in conf.items()}
     for side in ("driver", "executor"):
-        builder = builder.config(f"spark.{side}.extraJavaOptions", JVM_OPTIONS)
-    for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
+        # added to the caller's options, not in their place
+        name = f"spark.{side}.extraJavaOptions"
+        given[name] = f"{given.get(name, '')} {JVM_OPTIONS}".strip()
+    for key, value in given.items():
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder name under the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where that setting is absent, as in local tests, a local folder is used.
+    Where that setting is absent the session's warehouse serves, which executors share too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-")
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/scratch-{uuid.uuid4().hex}"

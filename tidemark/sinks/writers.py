@@ -14,6 +14,10 @@ from tidemark.operators.damage import sort_by_depth
 from tidemark.operators.validation import validation_report
 
 
+# files of one event and advisory
+SPREAD = 32
+
+
 def write_mode(overwrite: bool) -> str:
     return "overwrite" if overwrite else "errorifexists"
 
@@ -41,8 +45,13 @@ def write_inventory(df: DataFrame, root: str, overwrite: bool = False, cell: flo
 
 
 def write_predictions(df: DataFrame, root: str, overwrite: bool = False) -> None:
-    """Results partitioned by event and advisory; the grid name stays a column."""
-    df.write.mode(write_mode(overwrite)).partitionBy("event", "adv").parquet(root)
+    """Results partitioned by event and advisory; the grid name stays a column.
+
+    Rows are dealt by event, advisory and one of ``SPREAD`` numbers, so an event writes that many
+    files at most, and a large one is written by as many tasks.
+    """
+    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c.lower() in ("fltyid", "gridname")] or df.columns), F.lit(SPREAD))
+    df.repartition("event", "adv", spread).write.mode(write_mode(overwrite)).partitionBy("event", "adv").parquet(root)
 
 
 def result_name(inventory: str, raster: str) -> str:
