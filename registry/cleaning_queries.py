@@ -313,6 +313,23 @@ def _(spark, sf):
     return naming.resolve_archives(cands, known, ["storm_id", "advisory", "year"])
 
 
+@query(
+    "prj18_resolve_archives_fallback",
+    sql(
+        "SELECT storm_id, advisory, year, rank, name, coalesce(url, 'https://example.com/try/' || name) AS url, t AS tier FROM (SELECT *, min(t) OVER (PARTITION BY storm_id, advisory, year) AS best "
+        "FROM (SELECT c.*, l.url, CASE WHEN l.url IS NULL THEN 99 ELSE c.tier END AS t FROM ranked_candidates c LEFT JOIN archive_links l USING (name))) WHERE t = best",
+        "ranked_candidates",
+        "archive_links",
+    ),
+)
+def _(spark, sf):
+    """Requests without a link keep all their names, to be tried."""
+    cands = naming.candidate_archives(requests(spark, sf))
+    found = cands.where("(tier = 0 AND rank = 1 AND advisory % 3 = 0) OR (tier = 1 AND year % 2 = 0)")
+    known = found.select("name", F.concat(F.lit("https://example.com/"), "name").alias("url")).distinct()
+    return naming.resolve_archives(cands, known, ["storm_id", "advisory", "year"], "https://example.com/try/")
+
+
 @query(
     "prj19_raster_name",
     sql(

@@ -308,6 +308,22 @@ def _(spark, sf):
     return zones(spark, sf).select("event", "county_geoid", *[F.round(c, 4).alias(c) for c in POPS])
 
 
+@query(
+    "agg09_population_long",
+    sql(
+        " UNION ALL ".join(
+            f"SELECT event, county_geoid, '{z}' AS zone, round(pop_affected_{z.lower()}, 4) AS pop_affected, round(pop_impacted_{z.lower()}, 4) AS pop_impacted "
+            f"FROM zones WHERE pop_affected_{z.lower()} > 0 OR pop_impacted_{z.lower()} > 0"
+            for z in fixed.ZONES
+        ),
+        "zones",
+    ),
+)
+def _(spark, sf):
+    long = pop.population_long(zones(spark, sf))
+    return long.select("event", "county_geoid", "zone", *[F.round(c, 4).alias(c) for c in ("pop_affected", "pop_impacted")])
+
+
 NEEDS = {
     f"hh_{n}_{z.lower()}": f"CAST(round_even(pop_impacted_{z.lower()} * CAST('{rates[z]}' AS DOUBLE), 0) AS BIGINT)"
     for n, rates in (("shelter", fixed.SHELTER_RATE), ("feeding", fixed.FEEDING_RATE))

@@ -291,5 +291,8 @@ def test_rows_without_a_place_and_huge_values_are_kept(spark, sf):
     assert all(len(found[i]) == rasters for i in "abce")
     assert status["a"] == status["b"] == status["f"] == {"missing_required"}
     assert status["c"] == status["e"] == {"row_error"}
+    with pytest.raises(ValueError, match="row errors"):
+        od.refuse_row_errors(od.run_counters(out))
+    od.refuse_row_errors(od.run_counters(out), most=100)
     counted = od.run_counters(out).agg({"processed": "sum", "missing_required": "sum"}).first()
     assert counted["sum(processed)"] == sum(map(len, found.values()))

@@ -326,6 +326,13 @@ def run_counters(results: DataFrame) -> DataFrame:
     return counts.withColumn("message", message)
 
 
+def refuse_row_errors(counters: DataFrame, most: int = 0) -> None:
+    """Raises where a grid of :func:`run_counters` has more than ``most`` row errors."""
+    bad = counters.where(F.col("errors") > most).orderBy(F.desc("errors"), "GridName").first()
+    if bad is not None:
+        raise ValueError(f"row errors in the run: {bad['message']}")
+
+
 def sort_by_depth(results: DataFrame, tie: str = "FltyId") -> DataFrame:
     """Deepest first. The id breaks ties, which also spreads one repeated depth
     over several range partitions."""

@@ -55,14 +55,22 @@ def candidate_archives(requests: DataFrame) -> DataFrame:
     )
 
 
-def resolve_archives(candidates: DataFrame, links: DataFrame, keys: list[str]) -> DataFrame:
+def resolve_archives(candidates: DataFrame, links: DataFrame, keys: list[str], base_url: str | None = None) -> DataFrame:
     """Links of the best tier that is available for each request.
 
-    ``links``: ``name, url``, one row per file name. A request has at most six names.
+    ``links``: ``name, url``, one row per file name. A request has at most six names. With
+    ``base_url``, a request without any link gets all its names under that address to try, in
+    tier ``GUESSED``; without it such a request is left out.
     """
-    found = candidates.join(links, "name")
-    best = F.min("tier").over(Window.partitionBy(*keys))
-    return found.withColumn("_best", best).where(F.col("tier") == F.col("_best")).select(*keys, "rank", "name", "url", "tier")
+    found = candidates.join(links, "name", "left" if base_url else "inner")
+    tier = F.when(F.col("url").isNotNull(), F.col("tier")).otherwise(F.lit(GUESSED))
+    found = found.withColumn("tier", tier).withColumn("_best", F.min("tier").over(Window.partitionBy(*keys)))
+    url = F.coalesce("url", F.concat(F.lit(base_url or ""), "name"))
+    return found.where(F.col("tier") == F.col("_best")).select(*keys, "rank", "name", url.alias("url"), "tier")
+
+
+# tier of names that no index page confirms
+GUESSED = 99
 
 
 def last_advisories(files: DataFrame, storm: str = "storm_id", name: str = "name", n: int = 3) -> DataFrame:

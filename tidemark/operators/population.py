@@ -209,3 +209,12 @@ def event_inventory(inventory: DataFrame, event_states: DataFrame, event: str |
     pairs = event_states if event is None else event_states.where(F.col("event") == event)
     exploded = pairs.select("event", F.explode("states").alias("state"))
     return inventory.join(exploded, "state")
+
+
+def population_long(zones: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """The wide zone table with one row per key and zone that has anyone in it."""
+    rows = [
+        F.struct(F.lit(z).alias("zone"), *[F.col(f"pop_{n}_{z.lower()}").alias(f"pop_{n}") for n in ("affected", "impacted")])
+        for z in fixed.ZONES
+    ]
+    return zones.select(*keys, F.inline(F.array(*rows))).where("pop_affected > 0 or pop_impacted > 0")
