@@ -6,8 +6,8 @@
 4. secrets: secret spans in the text are masked; documents stay.
 5. tokens: ids and decoded check of what is left.
 
-Rows without ``doc_id`` go with stage 2, which cannot place them. A row repeated under one id
-stays as often as it is given. Null and empty texts go with stage 1.
+Rows without ``doc_id`` have no place in a group and stay. A row repeated under one id stays as
+often as it is given. Null and empty texts go with stage 1. Empty tables pass through.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = near.near_duplicates(docs, 5, 80)
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
