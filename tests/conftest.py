@@ -13,7 +13,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_session(
         "tests",
         "local[8]",
@@ -21,6 +21,7 @@ def spark():
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
+        spark__checkpoint__dir=tmp_path_factory.mktemp("shared").as_uri(),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
