@@ -6,7 +6,7 @@ pair whether the merges would leave it apart, and only words with a failing pair
 token that its own merges do not give) are merged exactly. A row of tokens that each encode to
 themselves is the encoding of its bytes if and only if every adjacent pair stands.
 
-Words and their ids are remembered per worker, up to ``REMEMBERED``. No shuffle; a task holds a
+Words and their ids are remembered within a task, up to twice ``REMEMBERED``. No shuffle; a task holds a
 slice of texts. Special tokens in a text become their ids, as the file's own library does.
 
 Null text encodes to no ids. All rows are kept, repeated ones too. Extra columns are ignored.
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.common import pick, slices
 
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 SHORT = 64
 NONE_RANK = 2**62
 NONE = np.int64(NONE_RANK)
@@ -198,6 +198,10 @@ class Vocabulary:
         for i, word in enumerate(words):
             self.known[word] = tuple(proposed[i] if not fails[i] else self.merge_short(raw[i]) if len(raw[i]) <= SHORT else self.merge_exactly(raw[i]))
 
+    def forget(self) -> None:
+        """Frees what a task has learned: workers go on to other operators."""
+        self.known, self.older = {}, {}
+
     def recall(self, words: set[str]) -> None:
         """Makes these words known. Words not asked for in two fillings are forgotten."""
         new = words - self.known.keys()
@@ -256,6 +260,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 flat = np.fromiter(chain.from_iterable(ids), np.int32)
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "ids"])
+        vocab.forget()
 
     return pick(docs, doc_id="doc_id", text="text").mapInArrow(task, "doc_id long, ids array<int>")
 
