@@ -84,6 +84,17 @@ def covering(width: int, stride: int):
     return lambda i: F.sequence(F.greatest(F.lit(0), F.floor((i - width) / stride) + 1), F.floor(i / stride))
 
 
+def window(c: int, width: int, stride: int):
+    """The distinct shingles of a window, from its number."""
+    return lambda p: F.struct(
+        F.lit(c).alias("class"), (p * stride).alias("first_word"), F.array_distinct(F.slice("h", (p * stride + 1).cast("int"), F.lit(width))).alias("w")
+    )
+
+
+def holding(hashes: list[int], least: int):
+    return lambda x: F.size(F.filter(x["w"], among(hashes))) >= least
+
+
 def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     rows = F.array(*[F.struct(F.lit(k).alias("license"), F.lit(v).alias("text")) for k, v in templates.items()])
     return shingled(spark.range(1).select(F.inline(rows))).select("license", F.array_distinct("h").alias("shingles"))
@@ -114,19 +125,21 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
     docs = shingled(pick(docs, doc_id="doc_id", text="text"))
     docs = one(docs, "hits", F.array_distinct(F.filter("h", lambda h: h.isin(every))))
     docs = docs.where(F.size("hits") >= min(need.values()))
-    out = None
+    windows, marks = [], None
     for c, names in sorted(classes.items()):
         own, stride = of_class[c], max(c // 4, 1)
         width = c + stride
-        enough = F.size(F.filter("hits", among(own))) >= need[c]
         spots = F.filter(F.transform("h", spot(own)), lambda i: i.isNotNull())
-        places = F.transform(spots, covering(width, stride))
-        windows = docs.where(enough).select("doc_id", "h", F.explode(F.array_distinct(F.flatten(places))).alias("place"))
-        windows = windows.select("doc_id", (F.col("place") * stride).alias("first_word"), F.explode(F.array(F.array_distinct(F.slice("h", (F.col("place") * stride + 1).cast("int"), F.lit(width))))).alias("w"))
-        windows = windows.where(F.size(F.filter("w", among(own))) >= need[c])
-        bands = windows.select("*", F.posexplode(sketch("w")).alias("band", "least"))
-        marks = table.where(F.col("license").isin(names)).select("license", "shingles", F.posexplode(sketch("shingles")).alias("band", "least"))
-        share = F.size(F.array_intersect("w", "shingles")) / F.size("shingles")
-        found = bands.join(marks, ["band", "least"]).select("doc_id", "license", "first_word", share.alias("containment")).where(F.col("containment") >= containment - 1e-9)
-        out = found if out is None else out.unionByName(found)
+        places = F.array_distinct(F.flatten(F.transform(spots, covering(width, stride))))
+        found = F.filter(F.transform(places, window(c, width, stride)), holding(own, need[c]))
+        # a document with too few shingles of the class has no such window
+        enough = F.size(F.filter("hits", among(own))) >= need[c]
+        windows.append(F.when(enough, found).otherwise(F.array().cast("array<struct<class:int,first_word:bigint,w:array<bigint>>>")))
+        part = table.where(F.col("license").isin(names)).select(F.lit(c).alias("class"), "license", "shingles", F.posexplode(sketch("shingles")).alias("band", "least"))
+        marks = part if marks is None else marks.unionByName(part)
+    cut = docs.select("doc_id", F.explode(F.concat(*windows)).alias("x")).select("doc_id", "x.*")
+    bands = cut.select("*", F.posexplode(sketch("w")).alias("band", "least"))
+    share = F.size(F.array_intersect("w", "shingles")) / F.size("shingles")
+    out = bands.join(marks, ["class", "band", "least"]).select("doc_id", "license", "first_word", share.alias("containment"))
+    out = out.where(F.col("containment") >= containment - 1e-9)
     return out.groupBy("doc_id", "license").agg(F.max("containment").alias("containment"), F.min("first_word").alias("first_word"))
