@@ -42,6 +42,25 @@ def test_small_tables_are_exact(spark, rows):
     assert ann.nearest(table.limit(0), table.limit(0)).count() == 0
 
 
+def test_every_shard_is_searched_alike(spark, monkeypatch):
+    widths, search = [], ann.search_shard
+    monkeypatch.setattr(ann, "search_shard", lambda k, ef: widths.append(ef) or search(k, ef))
+    x = np.random.default_rng(4).normal(size=(3000, 64))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    queries = table.where("vec_id % 50 = 0")
+    found = {}
+    for r in ann.nearest(table, queries, 20, shard_rows=700).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    ann.nearest(table, queries, 20)
+    assert widths == [ann.EF] * 2  # five shards and one
+    hits = 0
+    for q, own in found.items():
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len(own & {*np.argsort(-score)[:20].tolist()})
+    assert len(found) == 60 and hits / 1200 >= 0.98
+
+
 def test_nearest_query(spark):
     sf = "/root/testdata/sf0.1"
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()

@@ -25,9 +25,8 @@ from tidemark.llm.common import pick, seeded, stored
 
 SHARD = 8192
 BLOCK = 2048
-DEGREE, EF_BUILD = 16, 64
-# nodes a search keeps: in the only shard of a table, and in each of very many
-EF_ONE, EF_MANY = 160, 72
+# EF: nodes a search keeps in every shard, however many shards the table has
+DEGREE, EF_BUILD, EF = 16, 64, 160
 EMPTY = -1
 
 
@@ -234,13 +233,11 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.where(finite & F.exists("v", lambda x: x != 0)).withColumn("dim", F.size("v"))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, ef: int | None = None, shard_rows: int = SHARD) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, ef: int = EF, shard_rows: int = SHARD) -> DataFrame:
     """``(query_id, rank, vec_id, score)``. Both tables have vec_id and embedding."""
     rows, asked = usable(vectors), usable(queries)
     shards = 1 + vectors.count() // shard_rows
     blocks = 1 + queries.count() // BLOCK
-    # the more shards, the fewer of the k nearest are in each
-    ef = ef or EF_MANY + (EF_ONE - EF_MANY) // shards
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
     graphs = stored(rows.groupBy("dim", "shard").applyInPandas(build_shard, GRAPH))
     held = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
