@@ -54,6 +54,15 @@ def corpus(seed, copies=60):
     return rows
 
 
+def test_links_of_short_texts(documents):
+    rng, rows = random.Random(8), []
+    for i in range(3000):
+        words = [f"s{rng.randrange(10**9)}" for _ in range(6)]
+        rows += [(2 * i, " ".join(words[:5])), (2 * i + 1, " ".join(words))]
+    found = got(documents(rows), 2)
+    assert all(found[2 * i] == (4, 2 * i) and found[2 * i + 1] == (5, 2 * i) for i in range(3000))
+
+
 @pytest.mark.parametrize("size,crowded", [(2, 8), (2, 0), (5, 2)])
 def test_all_pairs(documents, monkeypatch, size, crowded):
     monkeypatch.setattr(near, "CROWDED", crowded)

@@ -3,7 +3,8 @@
 A document's set holds the hashes (64-bit) of its distinct word shingles; A-Z are lower-cased.
 Sets are put into ``BANDS * ROWS`` buckets and each bucket keeps the least hash as a register:
 its number of leading zeros and ``MANTISSA`` bits more. An empty bucket borrows from a bucket
-named by a fixed sequence of probes, so small sets band like large ones. At a similarity of 0.8
+named by a fixed sequence of probes, then from the first filled one in a fixed order of its own,
+so small sets band like large ones. At a similarity of 0.8
 two sets miss each other in all bands with probability below 2e-7.
 
 1. Equal sets become one class; the smallest ``doc_id`` stands for it.
@@ -13,8 +14,9 @@ two sets miss each other in all bands with probability below 2e-7.
    each member does not share with a reference text, see ``crowded_links``. What is left out
    are pairs already connected or provably unlinked; no block is expanded into all its pairs.
 3. A pair is estimated from its registers, corrected for chance collisions, and dropped when
-   the estimate is over six standard errors below the threshold. The rest is decided on full
-   sets, in integers: ``100 * intersection >= percent * union``.
+   the estimate is over six standard errors below the threshold; pairs with a set of under
+   ``FEW`` shingles are not estimated. The rest is decided on full sets, in integers:
+   ``100 * intersection >= percent * union``.
 4. Components by star contraction, in tables.
 
 Null text and text without words have an empty set, which links with nothing. Rows without
@@ -42,6 +44,10 @@ PERCENT = 80
 CROWDED = 8
 FULL = np.uint64(2**64 - 1)
 PROBES = np.random.default_rng(99).integers(0, REGISTERS, (64, REGISTERS))
+# for each bucket an order of all buckets, for what the probes leave empty
+ORDER = np.random.default_rng(98).permuted(np.tile(np.arange(REGISTERS), (REGISTERS, 1)), axis=1)
+# sets too small for the estimate's error bound
+FEW = 64
 
 
 # --- sets and registers ------------------------------------------------------------
@@ -89,7 +95,7 @@ def registers(values: np.ndarray) -> np.ndarray:
         out[empty] = np.where(full[source], out[source], out[empty])
         empty = empty[~full[source]]
     filled = np.flatnonzero(full)
-    out[empty] = out[filled[PROBES[0][empty] % len(filled)]]
+    out[empty] = out[filled[ORDER[empty][:, filled].argmin(1)]]
     return out
 
 
@@ -149,7 +155,7 @@ def estimate_task(percent: int):
             a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, REGISTERS) for i in (2, 3))
             n, m = (batch.column(i).to_numpy().astype(float) for i in (4, 5))
             fits = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
-            keep = fits & (estimate(a, b, n, m) >= cut)
+            keep = fits & ((np.minimum(n, m) < FEW) | (estimate(a, b, n, m) >= cut))
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["u", "v"])
 
     return task
