@@ -57,6 +57,18 @@ def test_language_query(spark):
     assert np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in held]) > 0.98
 
 
+def test_all_languages_and_whole_texts_are_learned(documents):
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice([*"abcdefghijklmnopqrstuvwxyz"], 7)) for _ in range(140 * 6)]
+    said = {i: " ".join(words[6 * i : 6 * i + 6]) for i in range(140)}
+    opening = "shared opening " * 200
+    docs = documents([(i, opening + (said[i] + " ") * 60) for i in said], {i: f"l{i:03}" for i in said})
+    model = langid.fit(docs)
+    assert model.languages == [f"l{i:03}" for i in range(140)]
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.predict(documents(list(said.items())), model).collect()}
+    assert found == {i: f"l{i:03}" for i in said}
+
+
 # --- quality -----------------------------------------------------------------------
 def test_additive_model_learns_an_interaction():
     rng = np.random.default_rng(1)

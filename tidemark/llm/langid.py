@@ -6,9 +6,10 @@ and averages them over the whole text. Decoding charges each codeword the logist
 every bit's margin and takes the nearest; the share of the nearest is the score, and a text
 whose runner-up is close is flagged ambiguous.
 
-The model is fitted on a bounded sample of labelled rows: of each of at most ``LANGUAGES``
-most frequent languages about ``PER_LANGUAGE`` rows, chosen by a hash of their id, each cut
-to ``FIT_CHARS``. Prediction reads whole texts, without shuffle.
+The model is fitted on a bounded sample of labelled rows: of each language about
+``PER_LANGUAGE`` rows, chosen by a hash of their id. All trigrams of a text count; those of one
+longer than ``WEIGHT`` weigh less each, so that it does not outweigh the others. Tasks count them;
+sums per language and bucket reach the driver. Prediction reads whole texts, without shuffle.
 
 Null text and text without a letter are ``und``, score 0, not ambiguous. Without labelled rows
 everything is ``und``. Languages that are null are not learned. All rows are kept.
@@ -27,9 +28,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import pick, slices
 
 PER_LANGUAGE = 1000
-LANGUAGES = 128
-FIT_CHARS = 2000
 BUCKET_BITS = 15
+# a longer text weighs as much as one of so many trigrams, in fixed point so that sums have no order
+WEIGHT, POINT = 2000, 1 << 20
+SCALES = (1, 2, 4, 8, 16, 32)
 AMBIGUOUS = 0.1
 UNDETERMINED = "und"
 
@@ -89,10 +91,39 @@ class Model:
 
     def shares(self, margins: np.ndarray) -> np.ndarray:
         """Share of each language: logistic loss of every codeword, turned around."""
-        z = -self.scale * margins[:, None, :] * self.code[None, :, :]
-        loss = np.logaddexp(0, z).sum(2)
-        e = np.exp(loss.min(1, keepdims=True) - loss)
-        return e / e.sum(1, keepdims=True)
+        out, step = np.zeros((len(margins), len(self.code))), max(1, (1 << 21) // self.code.size)
+        for lo in range(0, len(margins), step):
+            z = -self.scale * margins[lo : lo + step, None, :] * self.code[None, :, :]
+            loss = np.logaddexp(0, z).sum(2)
+            e = np.exp(loss.min(1, keepdims=True) - loss)
+            out[lo : lo + step] = e / e.sum(1, keepdims=True)
+        return out
+
+    def gains(self, texts: list[str], langs: list[str]) -> np.ndarray:
+        """Sum of the log share of each text's language, under each of ``SCALES``."""
+        margins, place = self.margins(texts), {x: i for i, x in enumerate(self.languages)}
+        truth = [place[x] for x in langs]
+        at = [Model(self.languages, self.code, self.weights, float(x)).shares(margins) for x in SCALES]
+        return np.array([np.log(x[np.arange(len(truth)), truth] + 1e-12).sum() for x in at])
+
+
+def weights(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct trigram buckets of a text and what each weighs, in units of ``1 / POINT``."""
+    bucket, count = np.unique(grams([text])[0], return_counts=True)
+    return bucket, count * (POINT * WEIGHT) // max(int(count.sum()), WEIGHT)
+
+
+def weigh(languages: list[str], counts: np.ndarray) -> Model:
+    """Model from trigram counts by language and bucket, its scale not yet chosen. Uses up ``counts``."""
+    share = counts
+    share += 0.5
+    share /= share.sum(1, keepdims=True)  # each language weighs the same
+    code = codewords(len(languages))
+    plus, minus = (code > 0).astype(float), (code < 0).astype(float)
+    mean = lambda side: (side.T @ share + 1e-9) / np.maximum(side.sum(0), 1)[:, None]
+    weights = (np.log(mean(plus)) - np.log(mean(minus))).T if len(languages) > 1 else np.zeros((1 << BUCKET_BITS, code.shape[1]))
+    weights[0] = 0
+    return Model(languages, code, weights.astype(np.float32), 1.0)
 
 
 def fit_rows(rows: list[tuple[str, str]]) -> Model | None:
@@ -100,39 +131,53 @@ def fit_rows(rows: list[tuple[str, str]]) -> Model | None:
     if not rows:
         return None
     languages = sorted({lang for _, lang in rows})
-    counts = np.ones((len(languages), 1 << BUCKET_BITS)) * 0.5
+    counts = np.zeros((len(languages), 1 << BUCKET_BITS))
     for text, lang in rows:
-        bucket, _ = grams([text])
-        counts[languages.index(lang)] += np.bincount(bucket, minlength=1 << BUCKET_BITS)
-    share = counts / counts.sum(1, keepdims=True)  # each language weighs the same
-    code = codewords(len(languages))
-    plus, minus = (code > 0).astype(float), (code < 0).astype(float)
-    mean = lambda side: (side.T @ share + 1e-9) / np.maximum(side.sum(0), 1)[:, None]
-    weights = (np.log(mean(plus)) - np.log(mean(minus))).T if len(languages) > 1 else np.zeros((1 << BUCKET_BITS, code.shape[1]))
-    weights[0] = 0
-    model = Model(languages, code, weights.astype(np.float32), 1.0)
-    margins = model.margins([t for t, _ in rows])
-    truth = np.array([languages.index(lang) for _, lang in rows])
-    gains = []
-    scales = [1, 2, 4, 8, 16, 32]
-    for model.scale in scales:
-        gains.append(np.log(model.shares(margins)[np.arange(len(truth)), truth] + 1e-12).mean())
-    model.scale = float(scales[int(np.argmax(gains))])
+        bucket, weight = weights(text)
+        counts[languages.index(lang), bucket] += weight
+    model = weigh(languages, counts / POINT)
+    model.scale = float(SCALES[int(np.argmax(model.gains(*map(list, zip(*rows, strict=True)))))])
     return model
 
 
+def count_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Weights of each text's trigrams, by language and bucket."""
+    for batch in batches:
+        for piece in slices(batch):
+            for lang, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
+                bucket, weight = weights(text)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(bucket), pa.string()), pa.array(bucket, pa.int32()), pa.array(weight, pa.int64())], names=["lang", "bucket", "n"])
+
+
 def fit(docs: DataFrame) -> Model | None:
     """Fits on a bounded sample of rows with a language; the caller chooses which rows may be learned from."""
     rows = pick(docs, doc_id="doc_id", text="text", lang="lang").where("text is not null and lang is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
+    found = rows.groupBy("lang").count().orderBy("lang").collect()
+    if not found:
         return None
     # hash buckets kept per language, so that about PER_LANGUAGE rows stay
     steps = 1 << 20
-    keep = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(steps, -(-PER_LANGUAGE * steps // r["count"])))])
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < keep[F.col("lang")])
-    taken = sample.select(F.substring("text", 1, FIT_CHARS), "lang", "doc_id").limit(2 * PER_LANGUAGE * len(counts)).collect()
-    return fit_rows([(r[0], r[1]) for r in sorted(taken, key=lambda r: (r[2] is None, r[2], r[0]))])
+    keep = F.create_map(*[F.lit(x) for r in found for x in (r["lang"], min(steps, -(-PER_LANGUAGE * steps // r["count"])))])
+    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < keep[F.col("lang")]).select("lang", "text")
+    sums = sample.mapInArrow(count_task, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    langs = sums.column("lang").to_pylist()
+    languages = sorted(set(langs))
+    if not languages:
+        return None
+    place, counts = {x: i for i, x in enumerate(languages)}, np.zeros((len(languages), 1 << BUCKET_BITS))
+    counts[[place[x] for x in langs], sums.column("bucket").to_numpy()] = sums.column("n").to_numpy() / POINT
+    model = weigh(languages, counts)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch):
+                gains = shared.value.gains(piece.column(1).to_pylist(), piece.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(SCALES)), pa.int32()), pa.array(gains)], names=["scale", "gain"])
+
+    gains = {r["scale"]: r["gain"] for r in sample.mapInArrow(task, "scale int, gain double").groupBy("scale").agg(F.sum("gain").alias("gain")).collect()}
+    model.scale = float(SCALES[max(gains, key=lambda k: (gains[k], -k))])
+    return model
 
 
 def predict_task(model: Model | None, place: int):
