@@ -146,6 +146,16 @@ def test_inferred_format_adds_spans_and_leaves_prose(documents):
     assert masked[2]["text"] == "internationalisation2 thereafter-nevertheless.however4"
 
 
+def test_rare_kinds_and_short_values_are_learned(documents, monkeypatch):
+    monkeypatch.setattr(secrets, "SAMPLE", 60)
+    prose = [(1000 + i, f"ordinary words like internationalisation{i % 7} and thereafter-nevertheless.however {i}") for i in range(3000)]
+    docs = documents([(i, f"some token = zk-{h} there") for i, h in enumerate(range(400_000, 400_060))] + prose)
+    model = secrets.fit(docs)
+    assert model and len(model["kinds"]) == 1
+    rows = {r["doc_id"]: r for r in secrets.scan(documents([(1, "id zk-512345 x"), (2, "ordinary thereafter words")]), model).collect()}
+    assert spelled(rows[1], False) == "format:3:12" and spelled(rows[2], False) == ""
+
+
 def test_merged_states_keep_the_language():
     states = secrets.infer(["ab12"] * 40 + ["ab1212"] * 40 + ["ab121212"] * 20)
     assert secrets.likelihood(states, "ab12") > secrets.likelihood(states, "12ab") + 1

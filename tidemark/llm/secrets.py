@@ -1,12 +1,11 @@
 """Secret scans: fixed patterns, and probabilistic automata inferred from what they find.
 
-Base patterns label credentials of three kinds. From a bounded sample of documents (``SAMPLE``
-rows, by a hash of the id) the labelled values of each kind grow a prefix tree over character
-classes; states whose continuations agree within Hoeffding's bound are merged, as are their
+Base patterns label credentials of three kinds. All documents are read for labelled values, and
+the ``VALUES`` of each kind with the least hashes grow a prefix tree over character classes; states whose continuations agree within Hoeffding's bound are merged, as are their
 successors, into a probabilistic automaton. A background automaton is inferred from ordinary
-tokens in the same way. Every other run of token characters that has ``CANDIDATE`` characters,
-a letter and a digit is then scored: it becomes a span of kind ``format`` when some kind's
-automaton gives it more likelihood per character than the background and no less than all but
+tokens of a bounded sample of documents (``SAMPLE`` rows, by a hash of the id) in the same way.
+Every other run of eight or more token characters is then scored: it becomes a span of kind
+``format`` when some kind's automaton gives it more likelihood per character than the background and no less than all but
 the ``TAIL`` least likely labelled values have.
 
 Spans are code points, end exclusive. Base spans always stay; added ones never touch them. Whole
@@ -16,6 +15,7 @@ Without labelled values (or an empty table) only base patterns count.
 
 from __future__ import annotations
 
+import heapq
 import re
 from bisect import bisect_left
 from collections import deque
@@ -24,10 +24,11 @@ from math import log, log2, sqrt
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import pick, slices
+from tidemark.llm.common import pick, slices, stored
 
 SAMPLE = 30_000
 VALUES = 600
@@ -179,32 +180,43 @@ def infer(values: list[str]) -> dict:
     return tree.merge().pack()
 
 
+def hold(held: dict[int, dict[str, int]], kind: int, value: str) -> None:
+    """Keeps a value and its hash; thins the kind to its least hashes when it holds twice as many."""
+    own, most = held.setdefault(kind, {}), VALUES if kind < 3 else TOKENS
+    if len(value) <= 512 and value not in own:
+        h = xxhash.xxh64_intdigest(value.encode(), 42)
+        own[value] = h - (h >> 63 << 64)
+        if len(own) >= 2 * most:
+            held[kind] = dict(heapq.nsmallest(most, own.items(), key=lambda x: (x[1], x[0])))
+
+
 def fit(docs: DataFrame) -> dict | None:
-    """Automata of the kinds found, their thresholds, and the background, from a bounded sample."""
+    """Automata of the kinds found, their thresholds, and the background."""
     docs = pick(docs, doc_id="doc_id", text="text").where("text is not null")
     steps = 1 << 20
     keep = min(steps, -(-SAMPLE * steps // max(docs.count(), 1)))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < keep)
+    marked = docs.withColumn("background", F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < keep)
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, dict[str, int]] = {}
         for batch in batches:
-            kinds, values = [], []
-            for text in batch.column(1).to_pylist():
-                spans = base_spans(text)
-                for _, k, _, v in spans:
-                    kinds.append(k)
-                    values.append(v)
-                for n, m in enumerate(others(text, spans)):
-                    if n % 16 == 0 or candidate(m[0]):
-                        kinds.append(3)
-                        values.append(m[0])
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(values, pa.string())], names=["kind", "value"])
-
-    found = sample.mapInArrow(task, "kind int, value string").where(F.length("value") <= 512).distinct()
+            for piece in slices(batch):
+                for text, background in zip(piece.column(1).to_pylist(), piece.column(2).to_pylist(), strict=True):
+                    spans = base_spans(text)
+                    for _, k, _, v in spans:
+                        hold(held, k, v)
+                    for n, m in enumerate(others(text, spans)) if background else ():
+                        if n % 16 == 0 or candidate(m[0]):
+                            hold(held, 3, m[0])
+        rows = [(k, v, h) for k, own in held.items() for v, h in own.items()]
+        columns = zip(*rows, strict=True) if rows else [[]] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.string(), pa.int64()), strict=True)], names=["kind", "value", "h"])
+
+    found = stored(marked.mapInArrow(task, "kind int, value string, h long")).distinct()
     rows = []
     for kind in range(4):
         # the least hashes of each kind: bounded, and the same whatever the partitions
-        rows += found.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(VALUES if kind < 3 else TOKENS).collect()
+        rows += found.where(F.col("kind") == kind).orderBy("h", "value").limit(VALUES if kind < 3 else TOKENS).collect()
     by_kind = {k: [r["value"] for r in rows if r["kind"] == k] for k in range(4)}
     labelled = {k: v for k, v in by_kind.items() if k < 3 and len(v) >= SURE}
     if not labelled:
@@ -220,11 +232,10 @@ def added(text: str, spans: list[tuple[int, int, int, str]], model: dict | None)
     """Start, kind number, end and score of spans that the automata add."""
     out = []
     for m in others(text, spans) if model else ():
-        if candidate(m[0]):
-            plain = likelihood(model["background"], m[0])
-            gains = [(x - plain) for states, least in model["kinds"] if (x := likelihood(states, m[0])) >= least]
-            if gains and max(gains) > 0:
-                out.append((m.start(), 3, m.end(), max(gains)))
+        plain = likelihood(model["background"], m[0])
+        gains = [(x - plain) for states, least in model["kinds"] if (x := likelihood(states, m[0])) >= least]
+        if gains and max(gains) > 0:
+            out.append((m.start(), 3, m.end(), max(gains)))
     return out
 
 
