@@ -4,8 +4,9 @@ Words are runs of a-z, 0-9 and characters beyond ASCII, lower-cased; a shingle i
 A template of ``m`` shingles belongs to the class of the next power of two, ``c``; its documents
 are cut into windows of ``c + c/4`` shingles, ``c/4`` apart, so an occurrence lies whole in some
 window. A window that holds the needed share of a template has a similarity of at least
-``0.5 * containment / 1.25`` to it (0.32 at 0.8); with ``BANDS`` bands of one row it misses the
-template with probability below 3e-7. Retrieved templates are then verified exactly: the share
+``0.5 * containment / (1.75 - 0.5 * containment)`` to it (0.296 at 0.8, where the template has over
+half of ``c`` shingles); with ``BANDS`` bands of one row it misses the template with probability
+below 9e-7, and a template of one shingle with 1.4e-4. Retrieved templates are then verified exactly: the share
 of the template's shingles that the window holds.
 
 Only windows that hold enough shingles of any template of their class are sketched. Fewer could
