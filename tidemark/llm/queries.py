@@ -146,3 +146,65 @@ def op2(spark, sf):
     from tidemark.llm.licenses import scan
 
     return scan(table(spark, sf, "documents"))
+
+
+OP13_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS units, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+      CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+k AS (SELECT *, CAST(len(units) AS BIGINT) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b FROM u),
+p AS (SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:], '') AS suffix,
+      CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+@query("op13_fill_in_middle", OP13_SQL)
+def op13(spark, sf):
+    """Texts rearranged for infilling, and rebuilt from that."""
+    from tidemark.llm.fim import fill_in_middle, restore
+
+    out = restore(fill_in_middle(table(spark, sf, "documents"), 1))
+    digest = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digest)
+
+
+def op12_sql(k: int = 16, rounds: int = 3) -> str:
+    """The same rounds as plain joins: all vectors with all centroids, component by component."""
+    steps = [
+        "v AS (SELECT vec_id, row_number() OVER () AS rid, embedding FROM embeddings WHERE len(embedding) = 64 "
+        "AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        "x AS (SELECT vec_id, rid, unnest(range(64)) AS pos, CAST(floor(64 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x FROM v)",
+        f"pick AS (SELECT rid, row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), ''))) - 1 AS c FROM v QUALIFY c < {k})",
+        "c0 AS (SELECT c, pos, x AS m FROM pick JOIN x USING (rid))",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"d{r} AS (SELECT rid, vec_id, c, CAST(sum((x - m) * (x - m)) AS BIGINT) AS d FROM x JOIN c{r} USING (pos) GROUP BY ALL)")
+        steps.append(f"a{r} AS (SELECT rid, vec_id, c, d FROM d{r} QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, c) = 1)")
+        if r < rounds:
+            steps.append(f"s{r} AS (SELECT c, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM a{r} JOIN x USING (rid) GROUP BY ALL)")
+            steps.append(f"c{r + 1} AS (SELECT o.c, o.pos, coalesce((s - ((s % n) + n) % n) // n, m) AS m FROM c{r} o LEFT JOIN s{r} t ON t.c = o.c AND t.pos = o.pos)")
+    steps.append(f"h AS (SELECT c, sha256(string_agg(CAST(m AS VARCHAR), ',' ORDER BY pos)) AS centroid_sha256 FROM c{rounds} GROUP BY c)")
+    return (
+        f"WITH {', '.join(steps)} SELECT vec_id, CAST(c AS INT) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, "
+        f"CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256 FROM a{rounds} JOIN h USING (c)"
+    )
+
+
+@query("op12_centroid_clusters", op12_sql())
+def op12(spark, sf):
+    """Sixteen clusters after three rounds, by exact distances on integer vectors."""
+    from tidemark.llm.pivots import cluster
+
+    return cluster(table(spark, sf, "embeddings")).drop("n_measured")
+
+
+@query("op11_token_files")
+def op11(spark, sf):
+    """Ids of all documents written to indexed files and read back."""
+    from tidemark.llm.token_files import round_trip
+
+    return round_trip(table(spark, sf, "documents"), vocabulary_path())
