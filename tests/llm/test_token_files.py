@@ -5,6 +5,8 @@ import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 tokenizers = pytest.importorskip("tokenizers")
 from pyarrow import orc  # noqa: E402
@@ -63,14 +65,30 @@ def test_stretches_of_a_long_text(library, monkeypatch):
     monkeypatch.setattr(tf, "STRETCH", 64)
     assert len(list(tf.stretches(text))) > 50
     assert "".join(tf.stretches(text)) == text
-    assert tf.encoder(vocabulary_path()).encode([text, ""])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    ids, n = tf.Encoder(vocabulary_path()).encode([text, "", "é", text])
+    one = library.encode(text, add_special_tokens=False).ids + [0]
+    assert ids.tolist() == [*one, 0, *library.encode("é").ids, 0, *one] and n.tolist() == [len(one), 1, 1 + len(library.encode("é").ids), len(one)]
+
+
+SPACES = " \n\t.!é<|>endoftextab's1\x1c\x85\xa0\u2003\u3000"
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(st.one_of(st.sampled_from(SPACES), st.characters(exclude_categories=["Cs", "Cn"])), max_size=60), max_size=8))
+def test_any_text(library, texts):
+    ids, n = tf.Encoder.encode(CODER, texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == ([e.ids + [0] for e in library.encode_batch(texts, add_special_tokens=False)] or [[]])
+
+
+CODER = tf.Encoder(vocabulary_path())
 
 
 def test_forgetting_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(tf, "REMEMBERED", 20)
     texts = [f"word{i} other{i % 3} thing" for i in range(300)]
-    got = [x.tolist() for lo in range(0, 300, 50) for x in tf.Encoder(vocabulary_path()).encode(texts[lo : lo + 50])]
-    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    coder = tf.Encoder(vocabulary_path())
+    got = np.concatenate([coder.encode(texts[lo : lo + 50])[0] for lo in range(0, 300, 50)])
+    assert got.tolist() == [i for e in library.encode_batch(texts, add_special_tokens=False) for i in [*e.ids, 0]]
 
 
 def test_checksum_of_pieces():

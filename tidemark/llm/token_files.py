@@ -13,7 +13,7 @@ A small manifest beside the files lists every part with its ids before it (``bas
 write, so a repeated task changes nothing. Only one row for each part reaches the driver.
 
 Encoding is that of the tokenizers library without added special tokens, then the end id. Texts are
-cut into words by the vocabulary's pattern, and the library encodes each distinct word of a task
+cut into words by the vocabulary's pattern, and the library's model encodes each distinct word of a task
 once: a word's ids do not depend on its neighbours. Special tokens in a text become their ids.
 
 A null text is empty: its only id is the end id. Rows without id come first. Rows that repeat an id
@@ -24,10 +24,10 @@ frequent id is not one task. Extra columns are ignored. An empty table gives emp
 from __future__ import annotations
 
 import json
-import os
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import PATTERN, PLAIN_PATTERN, PLAIN_TEXT
+from tidemark.llm.bpe import PATTERN, PLAIN_PATTERN, PLAIN_TEXT, byte_letters
 from tidemark.llm.common import pick, shared_dir, slices
 
 PIECE = 4096
@@ -58,76 +58,85 @@ def stretches(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+class Known(dict):
+    """Words with the places of their ids; a new word is encoded when it is asked for."""
+
+    def __init__(self, encode_word: Callable[[str], list[int]], special: dict[str, int], older: Known | None = None):
+        self.encode_word, self.older = encode_word, older
+        self.flat, self.first, self.size = array("i"), array("q"), array("q")
+        for content, i in special.items():
+            self.hold(content, [i])
+
+    def hold(self, word: str, ids: list[int] | array) -> int:
+        self[word] = place = len(self.size)
+        self.first.append(len(self.flat))
+        self.size.append(len(ids))
+        self.flat.extend(ids)
+        return place
+
+    def __missing__(self, word: str) -> int:
+        old = self.older
+        if old is not None and (place := old.get(word)) is not None:
+            return self.hold(word, old.flat[old.first[place] : old.first[place] + old.size[place]])
+        return self.hold(word, self.encode_word(word))
+
+    def gather(self, places: np.ndarray) -> np.ndarray:
+        """Ids held at the places, one after another."""
+        size, first, flat = (np.frombuffer(a, t) for a, t in ((self.size, np.int64), (self.first, np.int64), (self.flat, np.int32)))
+        size = size[places]
+        ends = np.cumsum(size)
+        return flat[np.arange(ends[-1]) + np.repeat(first[places] - ends + size, size)]
+
+
 class Encoder:
-    """Ids by the tokenizers library, remembered by word within a task."""
+    """Ids by the tokenizers library, remembered by word; words not met in two fillings are forgotten."""
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
+    def __init__(self, path: str, end_id: int = 0):
         import regex
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.model = Tokenizer.from_file(path).model
         self.words = regex.compile(PATTERN)
         with open(path, encoding="utf-8") as f:
-            special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
-        self.special = special
-        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        self.forget()
-
-    def forget(self) -> None:
-        """Place of each known word in the flat ids, with its length."""
-        self.known: dict[str, int] = {s: k for k, s in enumerate(self.special)}
-        self.flat = np.array(list(self.special.values()), np.int32)
-        self.first = np.arange(len(self.special), dtype=np.int64)
-        self.size = np.ones(len(self.special), np.int64)
-
-    def learn(self, words: list[str]) -> None:
-        ids = [e.ids for e in self.library.encode_batch(words, add_special_tokens=False)]
-        size = np.array([len(i) for i in ids], np.int64)
-        flat = np.fromiter((i for word in ids for i in word), np.int32, int(size.sum()))
-        self.known.update(zip(words, range(len(self.size), len(self.size) + len(words)), strict=True))
-        self.first = np.append(self.first, len(self.flat) + np.cumsum(size) - size)
-        self.size = np.append(self.size, size)
-        self.flat = np.append(self.flat, flat)
+            self.special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.letters = {b: c for c, b in byte_letters().items()}
+        self.end_id = end_id
+        self.known = Known(self.encode_word, self.special)
+
+    def encode_word(self, word: str) -> list[int]:
+        """The library's ids of one word of the pattern."""
+        spelled = word.replace(" ", self.letters[32]) if word.isascii() and word.isprintable() else "".join(map(self.letters.__getitem__, word.encode()))
+        return [t.id for t in self.model.tokenize(spelled)]
 
     def split(self, text: str) -> list[str]:
         """Words and special tokens of a text."""
         cut = PLAIN_PATTERN.findall if PLAIN_TEXT.fullmatch(text) else self.words.findall
         if not self.special or not any(s in text for s in self.special):
             return cut(text)
-        out = []
-        for k, stretch in enumerate(self.cut.split(text)):
-            out += [stretch] if k % 2 else cut(stretch)
-        return out
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if all(len(t) <= STRETCH for t in texts):
-            return self.encode_short(texts)
-        return [np.concatenate([self.encode_short([s])[0] for s in stretches(t)]) for t in texts]
-
-    def encode_short(self, texts: list[str]) -> list[np.ndarray]:
-        words = [self.split(t) for t in texts]
-        new = {w for text in words for w in text} - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.forget()
-            new = {w for text in words for w in text} - self.known.keys()
-        if new:
-            self.learn(list(new))
-        out = []
-        for text in words:
-            at = np.fromiter(map(self.known.__getitem__, text), np.int64, len(text))
-            size = self.size[at]
-            ends = np.cumsum(size)
-            place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[at] - ends + size, size)
-            out.append(self.flat[place])
-        return out
+        return [w for k, part in enumerate(self.cut.split(text)) for w in ([part] if k % 2 else cut(part))]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, the end id after each, and how many each text has."""
+        ids, n = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64)
+        for k, text in enumerate(texts):
+            for stretch in stretches(text):
+                places = np.fromiter(map(self.known.__getitem__, self.split(stretch)), np.int64)
+                if len(places):
+                    part = self.known.gather(places)
+                    ids.append(part)
+                    n[k] += len(part)
+                if len(self.known) > REMEMBERED:
+                    self.known.older = None
+                    self.known = Known(self.encode_word, self.special, self.known)
+            ids.append(np.array([self.end_id], np.int32))
+            n[k] += 1
+        return np.concatenate(ids), n
 
 
 @lru_cache(2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, end_id: int) -> Encoder:
+    return Encoder(path, end_id)
 
 
 def pieces(docs: DataFrame, path: str, end_id: int) -> DataFrame:
@@ -136,22 +145,18 @@ def pieces(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, at, encode = TaskContext.get().partitionId(), 0, encoder(path)
-        try:
-            for batch in batches:
-                for cut in slices(batch):
-                    ids = [np.append(i, np.int32(end_id)) for i in encode.encode([t or "" for t in cut.column(1).to_pylist()])]
-                    n = np.array([len(i) for i in ids], np.int64)
-                    begins = at + np.cumsum(n) - n
-                    at += int(n.sum())
-                    rows = -(-n // PIECE)
-                    doc = np.repeat(np.arange(len(n)), rows)
-                    skipped = (np.arange(len(doc)) - np.repeat(np.cumsum(rows) - rows, rows)) * PIECE
-                    ends = np.append(0, np.cumsum(np.minimum(n[doc] - skipped, PIECE))).astype(np.int32)
-                    columns = [cut.column(0).take(pa.array(doc)), pa.array(np.full(len(doc), part, np.int32)), pa.array(begins[doc]), pa.array(n[doc]), pa.array(skipped), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "part", "at", "n_tokens", "skipped", "ids"])
-        finally:
-            encode.forget()
+        part, at, coder = TaskContext.get().partitionId(), 0, encoder(path, end_id)
+        for batch in batches:
+            for cut in slices(batch):
+                ids, n = coder.encode([t or "" for t in cut.column(1).to_pylist()])
+                begins = at + np.cumsum(n) - n
+                at += int(n.sum())
+                rows = -(-n // PIECE)
+                doc = np.repeat(np.arange(len(n)), rows)
+                skipped = (np.arange(len(doc)) - np.repeat(np.cumsum(rows) - rows, rows)) * PIECE
+                ends = np.append(0, np.cumsum(np.minimum(n[doc] - skipped, PIECE))).astype(np.int32)
+                columns = [cut.column(0).take(pa.array(doc)), pa.array(np.full(len(doc), part, np.int32)), pa.array(begins[doc]), pa.array(n[doc]), pa.array(skipped), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "part", "at", "n_tokens", "skipped", "ids"])
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("_text").asc(), F.col("_row").asc()]
     docs = pick(docs, doc_id="doc_id", text="text").withColumns({"_text": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
