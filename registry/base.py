@@ -6,6 +6,7 @@ and in the check database; everything after them is written twice.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,15 +104,15 @@ META = {
 }
 
 
-def pixels(spark: SparkSession, sf: str) -> DataFrame:
-    keyed = project(table(spark, sf, "orders"), PIXEL_KEYS)
+def pixels(spark: SparkSession, sf: str, keys: dict[str, str] = PIXEL_KEYS) -> DataFrame:
+    keyed = project(table(spark, sf, "orders"), keys)
     summed = keyed.groupBy("raster_id", "r", "c").agg(F.sum("w").alias("w"))
     return summed.selectExpr("raster_id", "r", "c", f"{PIXEL_VALUE} AS value")
 
 
-def meta(spark: SparkSession, sf: str) -> DataFrame:
-    ids = project(table(spark, sf, "orders"), PIXEL_KEYS).select("raster_id").distinct()
-    return project(ids, META).withColumns(
+def meta(spark: SparkSession, sf: str, keys: dict[str, str] = PIXEL_KEYS, places: dict[str, str] = META) -> DataFrame:
+    ids = project(table(spark, sf, "orders"), keys).select("raster_id").distinct()
+    return project(ids, places).withColumns(
         {
             "projected": F.lit(False),
             "zone": F.lit(None).cast("int"),
@@ -120,6 +121,37 @@ def meta(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# --- forty storms, each over a tenfold degree of its own ------------------------------
+FAR_I, FAR_J = "l_orderkey % 8", "l_suppkey % 5"
+FAR_BLDG = {
+    **BLDG,
+    "longitude": f"{BLDG['longitude']} + CAST({FAR_I} AS DOUBLE) * CAST(12 AS DOUBLE)",
+    "latitude": f"{BLDG['latitude']} - CAST({FAR_J} AS DOUBLE) * CAST(12 AS DOUBLE)",
+}
+FAR_KEYS = {
+    **PIXEL_KEYS,
+    "raster_id": "concat('FAR', CAST(o_orderkey % 8 AS STRING), CAST(o_custkey % 5 AS STRING), '_2024_adv11_e10_ResultMaskRaster.tif')",
+    "c": "CAST(floor(CAST(o_orderkey AS DOUBLE) / CAST(8 AS DOUBLE)) AS INT) % 100",
+}
+FAR_META = {
+    **META,
+    "x0": "CAST('-81.9' AS DOUBLE) + CAST(substring(raster_id, 4, 1) AS DOUBLE) * CAST(12 AS DOUBLE)",
+    "y0": "CAST('27.8' AS DOUBLE) - CAST(substring(raster_id, 5, 1) AS DOUBLE) * CAST(12 AS DOUBLE)",
+}
+
+
+def far_bldg(spark: SparkSession, sf: str) -> DataFrame:
+    return project(table(spark, sf, "lineitem"), FAR_BLDG)
+
+
+def far_pixels(spark: SparkSession, sf: str) -> DataFrame:
+    return pixels(spark, sf, FAR_KEYS)
+
+
+def far_meta(spark: SparkSession, sf: str) -> DataFrame:
+    return meta(spark, sf, FAR_KEYS, FAR_META)
+
+
 # --- lookups: made-up curves and rates, stated by a rule ---------------------------
 SOIDS = (
     [f"R1{m}{s}" for m in ("1", "2", "3", "S") for s in "NB"]
@@ -183,18 +215,7 @@ def literal_rows(spark: SparkSession, rows: list[tuple], names: str) -> DataFram
     return spark.sql(values(rows, names))
 
 
-_LOOKUPS: dict[str, Lookups] = {}
-
-
 def lookups(spark: SparkSession) -> Lookups:
-    """One set per application; its checked sides stay cached between queries."""
-    app = spark.sparkContext.applicationId
-    if app not in _LOOKUPS:
-        _LOOKUPS[app] = _lookups(spark)
-    return _LOOKUPS[app]
-
-
-def _lookups(spark: SparkSession) -> Lookups:
     curve = f"{slope_curve('slope')} AS curve"
     curves = literal_rows(spark, [(*r, i) for i, r in enumerate(curve_rows())], "kind, zone, key, ddf_id, slope, pos")
     library = literal_rows(spark, [(*r, i) for i, r in enumerate(LIBRARY_ROWS)], "kind, ddf_id, occupancy, slope, pos")
@@ -462,6 +483,14 @@ def damage_sql(source: str, flood_code: str, override: bool) -> dict[str, tuple[
 
 
 CTES.update(damage_sql("sampled", "CAE", False))
+# the same chain for the forty storms
+cte("far_bldg", select(FAR_BLDG, "lineitem"))
+cte("far_pixel_keys", select(FAR_KEYS, "orders"))
+cte("far_meta", select(FAR_META, "(SELECT DISTINCT raster_id FROM far_pixel_keys)"), "far_pixel_keys")
+for _name in ("pixels", "bounds", "clipped", "sampled"):
+    _needs, _text = CTES[_name]
+    cte(f"far_{_name}", re.sub(r"\b(FROM|JOIN) (bldg|pixel_keys|pixels|meta|bounds|clipped)\b", r"\1 far_\2", _text), *[f"far_{n}" for n in _needs])
+CTES.update(damage_sql("far_sampled", "CAE", False))
 CTES.update(damage_sql("exposure", "CAE", False))
 cte("chosen", "SELECT * FROM exposure", "exposure")
 CTES.update(damage_sql("chosen", "V", True))

@@ -304,6 +304,22 @@ def _(spark, sf):
     )
 
 
+@query(
+    "dmg16_scattered_rasters",
+    sql(
+        "SELECT GridName, flExp, count(*) AS n, round(sum(Depth_Grid), 2) AS depth, round(sum(BldgLossUSD), 2) AS loss "
+        "FROM res_far_sampled GROUP BY 1, 2",
+        "res_far_sampled",
+    ),
+)
+def _(spark, sf):
+    """Forty storms in one run, too far apart for few boxes to hold them."""
+    out = plan.damage_by_raster(b.far_bldg(spark, sf), b.far_meta(spark, sf), b.far_pixels(spark, sf), b.lookups(spark))
+    return out.groupBy("GridName", "flExp").agg(
+        F.count("*").alias("n"), F.round(F.sum("Depth_Grid"), 2).alias("depth"), F.round(F.sum("BldgLossUSD"), 2).alias("loss")
+    )
+
+
 @query(
     "dmg17_run_counters",
     sql(

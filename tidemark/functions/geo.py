@@ -125,6 +125,28 @@ def lonlat_stages(x: str, y: str, zone: str, south: str) -> list[dict[str, str]]
     ]
 
 
+# Fixed value: the least radius of curvature of the ellipsoid, that of the meridian at the equator.
+LEAST_RADIUS = SEMI_MAJOR * (1 - ECC2)
+
+
+def bend_degrees(step: str, east: str, north: str) -> dict[str, str]:
+    """Most that ``lon`` and ``lat`` along a straight projected line leave the chord between points ``step`` metres apart.
+
+    On the sphere, isometric latitude and longitude are arctanh(sin z) of the scaled place z, so
+    their second derivatives are at most cosh(x) / cos(y)^2 in size; that of latitude gains half of
+    1 / cos(y)^2. A chord is left by at most the square of the step times an eighth of that. ``east`` and ``north``
+    are the largest distances from the central meridian and the equator. The least radius makes every term
+    too large, and a tenth more covers the flattening.
+    """
+    unit = f"{SCALE * LEAST_RADIUS!r}D"
+    flat = f"pow(cos(least({north} / {unit}, 1.57D)), 2)"
+    arc = f"1.1D * degrees(pow({step} / {unit}, 2) / 8)"
+    return {
+        "lon": f"({arc} * cosh({east} / {unit}) / {flat} + 1e-9D)",
+        "lat": f"({arc} * (cosh({east} / {unit}) + 0.5D) / {flat} + 1e-9D)",
+    }
+
+
 def add_stages(df: DataFrame, stages: list[dict[str, str]]) -> DataFrame:
     """Add the columns of the last stage; earlier stages are dropped again."""
     out = df

@@ -280,7 +280,8 @@ def run_damage(
     One plan serves all rasters. ``rasters`` restricts the run to named ones;
     ``clip=False`` also returns the dry rows outside each named raster's extent.
     Rows whose place is missing or unreadable are in no extent; they come once per raster,
-    as ``missing_required`` or ``row_error``.
+    as ``missing_required`` or ``row_error``. Numeric coordinates narrow the scan to the
+    extents; coordinates stored as text are read whole.
     The input columns are kept; ``flc`` and ``status`` are added to the results.
     """
     if rasters is not None:
@@ -289,9 +290,9 @@ def run_damage(
         raster_pixels = raster_pixels.where(F.col("raster_id").isin(names))
     elif not clip:
         raise ValueError("clip=False needs the raster names")
-    kinds, names_of = dict(inventory.dtypes), inv.normalize_field_map(mapping)
+    names_of = inv.normalize_field_map(mapping)
     lon, lat = names_of["Longitude"], names_of["Latitude"]
-    if clip and kinds.get(lon) == kinds.get(lat) == "double":
+    if clip and lon in inventory.columns and lat in inventory.columns:
         inventory = spatial.near_rasters(inventory, spatial.raster_bounds(raster_meta), f"`{lon}`", f"`{lat}`")
     rows = inv.apply_field_map(inventory, mapping)
     if clip:

@@ -11,19 +11,21 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import fixed, geo
+from tidemark.operators.extents import BOUNDS, packed_extents
 from tidemark.operators.joins import replicated, salted
 
 EDGE_SAMPLES = 21
-BOUNDS = ["xmin", "ymin", "xmax", "ymax"]
 
 
 def raster_bounds(meta: DataFrame) -> DataFrame:
     """Add the WGS84 extent of each raster.
 
     A projected raster is traced along its four edges and each sample is brought back
-    to longitude and latitude, because straight edges bend under the projection.
+    to longitude and latitude, because straight edges bend under the projection. The
+    extent is widened by the most that an edge can bend between two samples.
     """
     steps = f"sequence(0, {EDGE_SAMPLES})"
     n = f"{float(EDGE_SAMPLES)}D"
@@ -48,8 +50,11 @@ def raster_bounds(meta: DataFrame) -> DataFrame:
     )
     traced = sides.withColumn("_ring", F.expr(f"CASE WHEN _p THEN concat({edges}) END")).withColumn("_ring", F.expr(ring))
     parts = (("xmin", "min", "lon", "_w"), ("ymin", "min", "lat", "_s"), ("xmax", "max", "lon", "_e"), ("ymax", "max", "lat", "_n"))
+    step = f"greatest(_e - _w, _n - _s) / {n}"
+    north = f"(CASE WHEN coalesce(south, false) THEN {geo.FALSE_NORTHING!r}D ELSE 0.0D END)"
+    bend = geo.bend_degrees(step, "greatest(abs(_w - {0}D), abs(_e - {0}D))".format(geo.FALSE_EASTING), f"greatest(abs(_n - {north}), abs(_s - {north}))")
     extent = [
-        f"CASE WHEN _p THEN array_{pick}(transform(_ring, p -> p.{axis})) ELSE {side} END AS {name}"
+        f"CASE WHEN _p THEN array_{pick}(transform(_ring, p -> p.{axis})) {'-' if pick == 'min' else '+'} {bend[axis]} ELSE {side} END AS {name}"
         for name, pick, axis, side in parts
     ]
     return traced.selectExpr(*meta.columns, *extent)
@@ -62,24 +67,20 @@ def _cells_of_box(cell: float) -> tuple[Column, Column]:
     )
 
 
-def near_rasters(rows: DataFrame, bounds: DataFrame, lon: str = "longitude", lat: str = "latitude", tile: float = 10.0, most: int = 32) -> DataFrame:
-    """Rows in the merged extents of the rasters, as plain ranges that a stored table can skip by.
+def near_rasters(rows: DataFrame, bounds: DataFrame, lon: str = "longitude", lat: str = "latitude", most: int = 32) -> DataFrame:
+    """Rows in the packed extents of the rasters, as plain ranges that a stored table can skip by.
 
-    Rasters are merged per ``tile`` of degrees, so distant storms keep ranges of their own; where that
-    leaves more than ``most`` of them, one extent serves all. Only these few boxes reach the driver.
-    This narrows the scan and decides nothing: the join with the extents stays exact. Rows without a
-    readable place stay.
+    Extents are merged by least added area into ``most`` boxes at most, however many rasters there
+    are, so distant storms keep ranges of their own. Only these boxes reach the driver. This narrows
+    the scan and decides nothing: the join with the extents stays exact. Rows without a readable
+    place stay. Columns that are no doubles are compared as they are stored; text ones are not narrowed.
     """
-    corner = [F.floor(F.col(c) / tile) for c in ("xmin", "ymin")]
-    ends = [F.min("xmin"), F.min("ymin"), F.max("xmax"), F.max("ymax"), F.count_if(F.col("xmin").isNull())]
-    boxes = bounds.groupBy(*corner).agg(*ends).limit(most + 1).collect()
-    if len(boxes) > most:
-        boxes = bounds.groupBy(F.lit(0), F.lit(0)).agg(*ends).collect()
-    if any(box[6] for box in boxes):
-        raise ValueError("a raster has no extent: its projection is not supported")
+    kinds = {f.name: f.dataType for f in rows.select(lon, lat).schema.fields}
+    if not all(isinstance(k, T.NumericType) for k in kinds.values()):
+        return rows
     x, y = F.col(lon), F.col(lat)
     keep = x.isNull() | y.isNull() | (y > 90) | (y < -90) | (x > 360) | (x < -360)
-    for _, _, xmin, ymin, xmax, ymax, _ in boxes:
+    for xmin, ymin, xmax, ymax in packed_extents(bounds, most):
         keep = keep | (y.between(ymin, ymax) & x.between(xmin, xmax))
     return rows.where(keep)
 
@@ -95,15 +96,19 @@ def bbox_join(
     lat: str = "latitude",
     cell: float = 1.0,
     nowhere: Column | None = None,
+    prune: bool = True,
 ) -> DataFrame:
     """Pairs of building and raster with the building inside the raster extent.
 
     Extents are listed per coarse cell, so this is an equi-join on the cell with an
     exact BETWEEN test on top: no nested loop however many rasters there are.
+    ``prune`` narrows the scan of the buildings first, see :func:`near_rasters`.
 
     With ``nowhere``, rows it holds for and rows whose coordinates are NULL or beyond the earth
     share one more cell that every raster lists: they come once per raster.
     """
+    if prune and nowhere is None:
+        buildings = near_rasters(buildings, bounds, lon, lat)
     xs, ys = _cells_of_box(cell)
     listed = bounds.withColumn("_xs", xs).withColumn("_ys", ys)
     cells = F.flatten(F.transform("_xs", lambda x: F.transform("_ys", lambda y: geo.cell_code(x, y))))
@@ -123,16 +128,24 @@ def rasters_over(
     lon: str = "longitude",
     lat: str = "latitude",
     cell: float = 1.0,
+    prune: bool = True,
+    in_row: int = 256,
 ) -> DataFrame:
     """Buildings inside any raster extent, with the sorted array ``raster_ids``.
 
     The same test as :func:`bbox_join` without multiplying rows: each coarse cell
-    carries the extents that touch it (metadata, one entry per raster).
+    carries the extents that touch it (metadata, one entry per raster), ``in_row`` in
+    one array. Where more rasters touch a cell, a building may come once for each
+    array, with the rasters of that array.
     """
+    if prune:
+        buildings = near_rasters(buildings, bounds, lon, lat)
     xs, ys = _cells_of_box(cell)
     box = F.struct("raster_id", *BOUNDS).alias("_box")
     listed = bounds.withColumn("_cx", F.explode(xs)).withColumn("_cy", F.explode(ys)).select("_cx", "_cy", box)
-    per_cell = listed.groupBy("_cx", "_cy").agg(F.array_sort(F.collect_list("_box")).alias("_boxes"))
+    place = F.row_number().over(Window.partitionBy("_cx", "_cy").orderBy("_box"))
+    numbered = listed.withColumn("_k", F.floor((place - 1) / in_row))
+    per_cell = numbered.groupBy("_cx", "_cy", "_k").agg(F.array_sort(F.collect_list("_box")).alias("_boxes"))
     placed = buildings.withColumns(
         {"_cx": geo.cell_index(F.col(lon), cell), "_cy": geo.cell_index(F.col(lat), cell)}
     )
@@ -141,7 +154,7 @@ def rasters_over(
         placed.join(per_cell, ["_cx", "_cy"])
         .withColumn("raster_ids", F.expr(inside))
         .where(F.size("raster_ids") > 0)
-        .drop("_cx", "_cy", "_boxes")
+        .drop("_cx", "_cy", "_k", "_boxes")
     )
 
 

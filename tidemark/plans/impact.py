@@ -82,7 +82,7 @@ def clipped_inventory(inventory: DataFrame, raster_meta: DataFrame, policy: str
     else:
         rows = rows.where(F.col("bid").isNotNull() & F.col("latitude").isNotNull())
     # the set travels as one text: it sorts and hashes faster than an array
-    over = spatial.rasters_over(rows, bounds).withColumn("raster_ids", F.array_join("raster_ids", SEPARATOR))
+    over = spatial.rasters_over(rows, bounds, prune=False).withColumn("raster_ids", F.array_join("raster_ids", SEPARATOR))
     first = inv.dedup_inventory(over, ["bid", "raster_ids"]).repartition("bid")
     pairs = first.withColumn("raster_id", F.explode(F.split("raster_ids", SEPARATOR))).drop("raster_ids")
     best = inv.dedup_inventory(pairs, ["bid", "raster_id"])
