@@ -172,10 +172,46 @@ def _of_p(text: str) -> str:
 
 
 def crosses_left_of(px: Column, py: Column, e: Column) -> Column:
-    """True when edge ``e`` crosses the leftward horizontal ray from ``(px, py)``."""
-    side = (px - e["x1"]) * (e["y2"] - e["y1"]) - (e["x2"] - e["x1"]) * (py - e["y1"])
+    """True when edge ``e`` crosses the leftward horizontal ray from ``(px, py)``.
+
+    An end at the height of the ray counts as below it, and a crossing at ``px`` itself as not left.
+    """
     spans = (e["y1"] > py) != (e["y2"] > py)
-    return spans & F.when(e["y2"] > e["y1"], side > 0).otherwise(side < 0)
+    return spans & _left(px, py, e)
+
+
+def _side(px: Column, py: Column, e: Column) -> Column:
+    return (px - e["x1"]) * (e["y2"] - e["y1"]) - (e["x2"] - e["x1"]) * (py - e["y1"])
+
+
+def _left(px: Column, py: Column, e: Column) -> Column:
+    """Of an edge that spans the height ``py``: whether it passes left of ``px``. Rounding plays no part
+    unless the edge spans ``px`` too."""
+    side = _side(px, py, e)
+    west = e["x1"] < px
+    return F.when(west == (e["x2"] < px), west).otherwise(F.when(e["y2"] > e["y1"], side > 0).otherwise(side < 0))
+
+
+def _below(px: Column, py: Column, e: Column) -> Column:
+    """Of an edge that spans ``px``: whether it passes below ``py``. The same sign as in :func:`_left`
+    decides, so the two never contradict each other."""
+    side = _side(px, py, e)
+    low = ~(e["y1"] > py)
+    # on the edge itself: as _left has it
+    sign = F.when(side != 0, side < 0).otherwise(e["y2"] > e["y1"])
+    return F.when(low == ~(e["y2"] > py), low).otherwise(sign == (e["x2"] > e["x1"]))
+
+
+def crosses_path(px: Column, py: Column, cx: Column, cy: Column, e: Column) -> Column:
+    """True when edge ``e`` crosses the path from ``(cx, cy)`` up or down to the height ``py`` and then across to
+    ``(px, py)`` an odd number of times.
+
+    Over closed rings, the edges for which this holds are odd in number exactly where one of the two
+    places is inside by :func:`crosses_left_of` and the other is not, rounding included.
+    """
+    up = ((e["x1"] < cx) != (e["x2"] < cx)) & (_below(cx, py, e) != _below(cx, cy, e))
+    across = ((e["y1"] > py) != (e["y2"] > py)) & (_left(px, py, e) != _left(cx, py, e))
+    return up != across
 
 
 def edge_meets_box(x1, y1, x2, y2, xmin, ymin, xmax, ymax) -> Column:

@@ -5,7 +5,7 @@ A boundary is rows ``(geo_id, ring, seq, x1, y1, x2, y2)``, one per polygon edge
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import geo
@@ -40,60 +40,82 @@ def _span(lo: Column, hi: Column, cell: float) -> Column:
     return F.sequence(geo.cell_index(lo, cell), geo.cell_index(hi, cell))
 
 
-def cell_cover(edges: DataFrame, cell: float) -> DataFrame:
-    """Cells each boundary touches: ``geo_id, cx, cy, whole, edges``.
+# cells are widened by this share, so that an edge on their border is in both neighbours
+MARGIN = 1e-6
+
 
-    A cell without an edge of the boundary lies wholly inside or outside it; inside
-    ones are kept as ``whole``, outside ones are dropped. Other cells keep the edges
-    that a leftward ray from inside the cell can meet, which is bounded by the edges
-    of one boundary in one band of latitude.
+def edge_cells(edges: DataFrame, cell: float) -> DataFrame:
+    """Edge rows once per cell that the edge passes: columns ``cx``, ``cy``, ``crosses`` are added.
+
+    The edge is followed row by row, so a long edge gives as many rows as it passes cells.
+    ``crosses`` marks the one cell in whose south side, its west end excluded, the edge crosses it.
     """
-    boxes = edges.groupBy("geo_id").agg(
-        F.min(F.least("x1", "x2")).alias("xmin"),
-        F.max(F.greatest("x1", "x2")).alias("xmax"),
-        F.min(F.least("y1", "y2")).alias("ymin"),
-        F.max(F.greatest("y1", "y2")).alias("ymax"),
-    )
-    cells = boxes.select("geo_id", F.explode(_span(F.col("xmin"), F.col("xmax"), cell)).alias("cx"), "ymin", "ymax").select(
-        "geo_id", "cx", F.explode(_span(F.col("ymin"), F.col("ymax"), cell)).alias("cy")
+    m = cell * MARGIN
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    banded = edges.withColumn("cy", F.explode(_span(low - m, high + m, cell)))
+    south = F.col("cy") * F.lit(cell)
+
+    def x_at(y: Column) -> Column:
+        x = F.col("x1") + (y - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
+        return F.least(F.greatest(x, F.least("x1", "x2")), F.greatest("x1", "x2"))
+
+    level = F.col("y1") == F.col("y2")
+    enter, leave = x_at(F.greatest(low, south - m)), x_at(F.least(high, south + F.lit(cell + m)))
+    ends = banded.withColumns(
+        {
+            "_a": F.when(level, F.least("x1", "x2")).otherwise(F.least(enter, leave)) - m,
+            "_b": F.when(level, F.greatest("x1", "x2")).otherwise(F.greatest(enter, leave)) + m,
+            "_near": F.when(~level, geo.cell_index(x_at(south), cell)),
+        }
     )
-    banded = edges.withColumn("cy", F.explode(_span(F.least("y1", "y2"), F.greatest("y1", "y2"), cell)))
-    west, south = F.col("cx") * F.lit(cell), F.col("cy") * F.lit(cell)
-    east, north = west + F.lit(cell), south + F.lit(cell)
-    ends = [F.col(c) for c in EDGE]
+    # the crossing's column is the last one whose west end is not right of it, by the ray test itself
     edge = F.struct(*EDGE)
-    # equality on boundary and band, then only edges that start left of the cell's east side
-    joined = cells.join(banded, ["geo_id", "cy"]).where(F.least("x1", "x2") <= east)
-    local = geo.edge_meets_box(*ends, west, south, east, north)
-    centre = geo.crosses_left_of(west + F.lit(cell / 2), south + F.lit(cell / 2), edge)
-    summed = joined.groupBy("geo_id", "cx", "cy").agg(
-        F.count_if(local).alias("n_local"),
-        F.count_if(centre).alias("n_cross"),
-        F.collect_list(edge).alias("edges"),
-    )
-    inside = F.col("n_cross") % 2 == 1
-    return summed.where((F.col("n_local") > 0) | inside).select(
-        "geo_id",
-        "cx",
-        "cy",
-        (F.col("n_local") == 0).alias("whole"),
-        F.when(F.col("n_local") > 0, F.col("edges")).alias("edges"),
+    left = [geo.crosses_left_of((F.col("_near") + k) * F.lit(cell), south, edge) for k in (0, 1)]
+    spans = (F.col("y1") > south) != (F.col("y2") > south)
+    column = F.col("_near") + F.when(~left[1], 1).when(left[0], -1).otherwise(0)
+    placed = ends.withColumn("_at", F.when(spans, column))
+    first, last = geo.cell_index(F.col("_a"), cell), geo.cell_index(F.col("_b"), cell)
+    every = F.sequence(F.least(first, F.coalesce("_at", first)), F.greatest(last, F.coalesce("_at", last)))
+    return placed.withColumn("cx", F.explode(every)).select(*edges.columns, "cx", "cy", F.coalesce(F.col("_at") == F.col("cx"), F.lit(False)).alias("crosses"))
+
+
+def cell_cover(edges: DataFrame, cell: float) -> DataFrame:
+    """Cells of each boundary: ``geo_id, cx, cy, whole, odd, edges``.
+
+    A cell that an edge passes keeps the edges in it, and ``odd``: whether its south-west corner lies
+    inside. That is the parity of the crossings of the cell's south line further west, a running
+    count over the cells of one row. A cell without an edge lies wholly inside or outside; those
+    between two passed cells of a row are kept as ``whole`` where the count is odd. Stored edges
+    grow with the boundary's length, whatever its height or width.
+    """
+    passed = edge_cells(edges, cell).groupBy("geo_id", "cx", "cy").agg(
+        F.count_if("crosses").alias("_n"), F.collect_list(F.struct(*EDGE)).alias("edges")
     )
+    row = Window.partitionBy("geo_id", "cy").orderBy("cx")
+    west = F.coalesce(F.sum("_n").over(row.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = passed.withColumns({"_west": west, "_next": F.lead("cx").over(row)})
+    gap = F.when(((F.col("_west") + F.col("_n")) % 2 == 1) & (F.col("_next") > F.col("cx") + 1), F.sequence(F.col("cx") + 1, F.col("_next") - 1))
+    inside = F.transform(gap, lambda x: F.struct(x.alias("cx"), F.lit(True).alias("whole"), F.lit(True).alias("odd"), F.lit(None).cast("array<struct<x1: double, y1: double, x2: double, y2: double>>").alias("edges")))
+    own = F.array(F.struct("cx", F.lit(False).alias("whole"), (F.col("_west") % 2 == 1).alias("odd"), "edges"))
+    cells = rows.select("geo_id", "cy", F.explode(F.concat(own, F.coalesce(inside, F.slice(own, 1, 0)))).alias("_c"))
+    return cells.select("geo_id", "_c.cx", "cy", "_c.whole", "_c.odd", "_c.edges")
+
+
+def _inside(px: Column, py: Column, cx: Column, cy: Column, whole: Column, odd: Column, edges: Column, cell: float) -> Column:
+    """Whether a place lies in the boundary that a cell belongs to."""
+    west, south = cx * F.lit(cell), cy * F.lit(cell)
+    crossed = F.size(F.filter(edges, lambda e: geo.crosses_path(px, py, west, south, e)))
+    return whole | (odd != (crossed % 2 == 1))
 
 
 def points_in_boundaries(
     points: DataFrame, edges: DataFrame, lon: str = "longitude", lat: str = "latitude", cell: float = 0.25
 ) -> DataFrame:
-    """Pairs of point and containing boundary (even-odd rule)."""
+    """Pairs of point and containing boundary (even-odd rule over closed rings)."""
     px, py = F.col(lon), F.col(lat)
-    cover = cell_cover(edges, cell)
-    crossings = F.size(F.filter("edges", lambda e: geo.crosses_left_of(px, py, e)))
+    held = _inside(px, py, *[F.col(c) for c in ("cx", "cy", "whole", "odd", "edges")], cell)
     placed = points.withColumn("cx", geo.cell_index(px, cell)).withColumn("cy", geo.cell_index(py, cell))
-    return (
-        placed.join(cover, ["cx", "cy"])
-        .where(F.col("whole") | (crossings % 2 == 1))
-        .select(*points.columns, "geo_id")
-    )
+    return placed.join(cell_cover(edges, cell), ["cx", "cy"]).where(held).select(*points.columns, "geo_id")
 
 
 def assign_county(
@@ -112,10 +134,10 @@ def assign_county(
         return points_in_boundaries(points, edges, lon, lat, cell)
     # candidates of one cell meet in one row, so no point is grouped or matched again
     px, py = F.col(lon), F.col(lat)
-    cover = cell_cover(edges, cell).groupBy("cx", "cy").agg(F.collect_list(F.struct("geo_id", "whole", "edges")).alias("cands"))
+    cover = cell_cover(edges, cell).groupBy("cx", "cy").agg(F.collect_list(F.struct("geo_id", "whole", "odd", "edges")).alias("cands"))
 
     def holds(k: Column) -> Column:
-        return k["whole"] | (F.size(F.filter(k["edges"], lambda e: geo.crosses_left_of(px, py, e))) % 2 == 1)
+        return _inside(px, py, F.col("cx"), F.col("cy"), k["whole"], k["odd"], k["edges"], cell)
 
     hit = F.array_min(F.transform(F.filter("cands", holds), lambda k: k["geo_id"]))
     placed = points.withColumn("cx", geo.cell_index(px, cell)).withColumn("cy", geo.cell_index(py, cell))
@@ -132,9 +154,7 @@ def boundaries_in_extent(edges: DataFrame, bounds: DataFrame, cell: float = 1.0)
     listed = box.withColumn("cx", F.explode(_span(F.col("xmin"), F.col("xmax"), cell))).withColumn(
         "cy", F.explode(_span(F.col("ymin"), F.col("ymax"), cell))
     )
-    placed = edges.withColumn("cx", F.explode(_span(F.least("x1", "x2"), F.greatest("x1", "x2"), cell))).withColumn(
-        "cy", F.explode(_span(F.least("y1", "y2"), F.greatest("y1", "y2"), cell))
-    )
+    placed = edge_cells(edges, cell)
     ends = [F.col(c) for c in EDGE]
     meets = geo.edge_meets_box(*ends, F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"))
     by_edge = placed.join(listed, ["cx", "cy"]).where(meets).select("raster_id", "geo_id")
