@@ -228,6 +228,34 @@ def lookups(spark: SparkSession) -> Lookups:
     )
 
 
+def loaded_lookups(spark: SparkSession, root: str) -> Lookups:
+    """The same tables written as the files a user has, and read by the loaders."""
+    from tidemark.sources.lookups import load_lookups
+
+    made = lookups(spark)
+    points = [F.element_at("curve", i + 1).alias(c) for i, c in enumerate(fixed.CURVE_COLUMNS)]
+
+    def save(df: DataFrame, name: str) -> str:
+        df.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{root}/{name}")
+        return f"{root}/{name}"
+
+    note = [F.lit("made up").alias("Source"), F.lit('text, with "comma"').alias("Description")]
+    curves = {}
+    for kind, zone, _ in CURVE_SETS:
+        rows = made.curves.where((F.col("kind") == kind) & (F.col("zone") == zone)).orderBy("pos")
+        named = rows.select(F.substring("key", 1, 2).alias("Occupancy"), F.concat(F.lit(" "), "key").alias("SpecificOccupId"), *note, *points, F.col("ddf_id").alias("DDF_ID"))
+        curves[kind, zone] = save(named, f"{kind}_{zone}.csv")
+    library = {}
+    for kind in ("building", "content", "inventory"):
+        rows = made.library.where(F.col("kind") == kind).orderBy("pos")
+        library[kind] = (save(rows.select("Occupancy", F.col("ddf_id").alias("DmgFnId"), *note, *points), f"{kind}_library.csv"), "DmgFnId")
+    debris = save(made.debris.withColumns({"Description": F.lit("x"), "Comment": F.lit(None).cast("string")}), "debris.csv")
+    blank = {c: F.lit(0) for c in ("Min_Depth", "Max_Depth")}
+    restoration = save(made.restoration.withColumns({**blank, "Occupancy": F.lit("")}), "restoration.csv")
+    sales = save(made.sales.withColumn("OccupancyPlaceholder", F.lit("")), "sales.csv")
+    return load_lookups(spark, curves, debris, restoration, sales, library)
+
+
 # --- census and boundary tables ----------------------------------------------------
 SVI_KEYS = {
     "FIPS": "concat(CASE WHEN c_nationkey % 2 = 0 THEN '12' ELSE '01' END, lpad(CAST(c_nationkey AS STRING), 3, '0'))",
@@ -483,6 +511,13 @@ def damage_sql(source: str, flood_code: str, override: bool) -> dict[str, tuple[
 
 
 CTES.update(damage_sql("sampled", "CAE", False))
+# the same chain for the states and rasters of one event
+EVENT_STATES = ("Florida", "Georgia")
+cte("event_bldg", f"SELECT * FROM bldg WHERE state IN {EVENT_STATES}", "bldg")
+cte("event_bounds", "SELECT * FROM bounds WHERE raster_id LIKE 'STORMF%'", "bounds")
+cte("event_clipped", re.sub(r"\b(FROM|JOIN) (bldg|bounds)\b", r"\1 event_\2", CTES["clipped"][1]), "event_bldg", "event_bounds")
+cte("event_sampled", re.sub(r"\b(FROM) (clipped)\b", r"\1 event_\2", CTES["sampled"][1]), "event_clipped", "meta", "pixels")
+CTES.update(damage_sql("event_sampled", "CAE", False))
 # the same chain for the forty storms
 cte("far_bldg", select(FAR_BLDG, "lineitem"))
 cte("far_pixel_keys", select(FAR_KEYS, "orders"))

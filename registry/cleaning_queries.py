@@ -10,7 +10,10 @@ from tidemark.functions import fixed, text
 from tidemark.operators import damage as od
 from tidemark.operators import inventory as inv
 from tidemark.operators import naming, population
-from tidemark.sources import links
+from tidemark.plans import impact as plan
+from tidemark.session import scratch_dir
+from tidemark.sinks import writers
+from tidemark.sources import links, tables
 
 WS = "E' \\t\\n\\r\\x0B\\x0C'"
 LI = "lineitem"
@@ -510,7 +513,12 @@ def events(spark):
     sql("SELECT e.event, b.state, count(*) AS n FROM bldg b JOIN event_states e ON e.state = b.state GROUP BY 1, 2", "bldg", "event_states"),
 )
 def _(spark, sf):
-    pairs = naming.explode_event_states(events(spark))
+    """The event table as its settings file, read by the reader."""
+    path = scratch_dir(spark)
+    entries = F.concat(F.lit("  "), "event", F.lit(":\n    states: ["), F.array_join("states", ", "), F.lit(']\n    raster_pattern: "'), "raster_pattern", F.lit('"'))
+    body = F.concat(F.lit("# events\nevents:\n"), F.array_join(F.collect_list(entries), "\n"))
+    events(spark).agg(body.alias("value")).coalesce(1).write.text(path)
+    pairs = naming.explode_event_states(tables.read_event_states(spark, path))
     return counted(b.bldg(spark, sf).drop("event").join(pairs, "state"), "event", "state")
 
 
@@ -527,6 +535,26 @@ def _(spark, sf):
     return rows.groupBy("state").agg(F.count("*").alias("n"), F.round(F.sum("val_struct"), 2).alias("value"))
 
 
+@query(
+    "imp14_event_run",
+    sql(
+        "SELECT GridName, state, status, count(*) AS n, round(sum(Depth_Grid), 2) AS depth, round(sum(BldgLossUSD), 2) AS loss FROM res_event_sampled GROUP BY 1, 2, 3",
+        "res_event_sampled",
+    ),
+)
+def _(spark, sf):
+    """A damage run of one event over the inventory stored by state."""
+    path = scratch_dir(spark)
+    writers.write_inventory(b.bldg(spark, sf), f"{path}/inventory")
+    events(spark).write.parquet(f"{path}/events")
+    stored = spark.read.parquet(f"{path}/inventory")
+    params = plan.RunParams.of({"event": "storm_f"})
+    out = plan.damage_by_raster(stored, b.meta(spark, sf), b.pixels(spark, sf), b.lookups(spark), params, spark.read.parquet(f"{path}/events"))
+    return out.groupBy("GridName", "state", "status").agg(
+        F.count("*").alias("n"), F.round(F.sum("Depth_Grid"), 2).alias("depth"), F.round(F.sum("BldgLossUSD"), 2).alias("loss")
+    )
+
+
 HREF = "'(?i)href=\"([^\"]+)\"'"
 ORIGIN = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1)"
 FOLDER = "regexp_extract(regexp_replace(url, '[?#].*$', ''), '^([A-Za-z][A-Za-z0-9+.-]*://.*/)', 1)"

@@ -432,7 +432,8 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    curves = b.lookups(spark).curves.withColumnRenamed("key", "SOID")
+    """Curves by the loader from one file per kind and zone."""
+    curves = b.loaded_lookups(spark, scratch_dir(spark)).curves.withColumnRenamed("key", "SOID")
     joined = keyed(spark, sf).join(curves, ["zone", "SOID"])
     return joined.groupBy("kind", "ddf_id").agg(
         F.round(F.min(F.element_at("curve", 5)), 4).alias("at_zero"),
@@ -447,13 +448,19 @@ def _(spark, sf):
         "SELECT DebrisID AS key, 'debris' AS source, count(*) AS n, round(max(Finishes), 4) AS rate FROM joined_exposure JOIN "
         "(SELECT DebrisID, Finishes AS f FROM debris) ON DebrisID = dkey GROUP BY 1 UNION ALL "
         "SELECT RestFnID, 'restoration', count(*), round(max(CAST(lo AS DOUBLE)), 4) FROM joined_exposure JOIN "
-        "(SELECT RestFnID, lo_days AS lo FROM restoration) ON RestFnID = rkey GROUP BY 1",
+        "(SELECT RestFnID, lo_days AS lo FROM restoration) ON RestFnID = rkey GROUP BY 1 UNION ALL "
+        "SELECT Occ, 'sales', count(*), round(max(stock / Area), 4) FROM joined_exposure WHERE stock > 0 GROUP BY 1",
         "joined_exposure",
     ),
 )
 def _(spark, sf):
+    """Debris, repair and sales rates by the loaders, met by every row."""
     rows = inv.apply_field_map(exposure(spark, sf), MAPPING)
-    joined = od.with_lookups(od.with_keys(rows, "CAE"), b.lookups(spark), ())
+    loaded = b.loaded_lookups(spark, scratch_dir(spark))
+    joined = od.with_lookups(od.with_keys(rows, "CAE"), loaded, ())
+    stock = F.col("AnnualSalesPerSqFt") * F.col("BusinessInvPctofSales") / 100
+    sold = exposure(spark, sf).join(loaded.sales, F.col("Occ") == F.col("Occupancy")).where("Occ IN ('COM1', 'AGR1') AND Area > 0")
+    sold = sold.groupBy(F.col("Occ").alias("key")).agg(F.lit("sales").alias("source"), F.count("*").alias("n"), F.round(F.max(stock), 4).alias("rate"))
 
     def rates(key, value, source):
         hit = joined.where(F.col(key).isNotNull() & F.col(value).isNotNull())
@@ -461,7 +468,7 @@ def _(spark, sf):
             F.lit(source).alias("source"), F.count("*").alias("n"), F.round(F.max(F.col(value).cast("double")), 4).alias("rate")
         )
 
-    return rates("f_debris", "Finishes", "debris").unionByName(rates("f_restore", "Min_Restor_Days", "restoration"))
+    return rates("f_debris", "Finishes", "debris").unionByName(rates("f_restore", "Min_Restor_Days", "restoration")).unionByName(sold)
 
 
 # some rows lose a required value: a blank occupancy, a missing area

@@ -15,6 +15,7 @@ from tidemark.operators import inventory as inv
 from tidemark.operators import population as pop
 from tidemark.operators import validation as val
 from tidemark.plans import impact as plan
+from tidemark.session import scratch_dir
 
 LABELS = ["Destroyed", "Major", "Minor", "Affected"]
 
@@ -151,6 +152,32 @@ def _(spark, sf):
     return geo.distinct_geographies(homes(spark, sf))
 
 
+b.cte("sketched", "SELECT concat('E', right(fltyid, 1)) AS event, county_geoid, tract_geoid, fltyid FROM homes", "homes")
+
+
+@query(
+    "agg08_stored_sketches",
+    sql(
+        "SELECT event, count(DISTINCT county_geoid) AS counties, count(DISTINCT tract_geoid) AS tracts, count(DISTINCT fltyid) AS buildings, true AS close "
+        "FROM (SELECT * FROM sketched UNION ALL SELECT 'all', county_geoid, tract_geoid, fltyid FROM sketched) GROUP BY 1",
+        "sketched",
+    ),
+)
+def _(spark, sf):
+    """Sketches per event, stored and merged, against the exact counts: within four standard errors."""
+    rows = homes(spark, sf).withColumn("event", F.concat(F.lit("E"), F.substring("fltyid", -1, 1)))
+    path = scratch_dir(spark)
+    geo.geography_sketches(rows, ["event"]).write.parquet(path)
+    stored = spark.read.parquet(path)
+    names = {"county_geoid": "counties", "tract_geoid": "tracts", "fltyid": "buildings"}
+    guessed = geo.count_sketches(stored, ["event"]).unionByName(geo.count_sketches(stored).withColumn("event", F.lit("all")))
+    exact = rows.rollup("event").agg(*[F.countDistinct(c).alias(n) for c, n in names.items()]).withColumn("event", F.coalesce("event", F.lit("all")))
+    close = F.lit(True)
+    for c, n in names.items():
+        close = close & (F.abs(F.col(f"n_{c}") - F.col(n)) <= F.greatest(F.lit(0.5), F.col(n) * 4 * geo.sketch_error()))
+    return exact.join(guessed, "event", "left").select("event", *names.values(), F.coalesce(close, F.lit(False)).alias("close"))
+
+
 @query(
     "joi05_join_svi",
     sql("SELECT a.*, s.ST_ABBR, s.COUNTY, s.E_TOTPOP, s.EP_POV150 FROM areas_county a LEFT JOIN svi s ON s.FIPS = a.FIPS", "areas_county", "svi"),

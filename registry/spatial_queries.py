@@ -4,6 +4,7 @@ stored sources and sinks (SRC-1..5, SRC-9/11, SNK)."""
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from registry import base as b
@@ -353,12 +354,15 @@ def _(spark, sf):
 
 @query("src05_feature_collection", sql(f"SELECT {FEATURE_SUMS} FROM bldg GROUP BY 1", "bldg"))
 def _(spark, sf):
-    """Stored documents of many features each: one file is one document."""
-    lines = src.feature_lines(whole_stories(spark, sf).repartition(16))
-    head, tail = F.lit('{"type":"FeatureCollection","features":['), F.lit("]}")
-    docs = lines.groupBy(F.spark_partition_id().alias("part")).agg(F.concat(head, F.array_join(F.collect_list("value"), ","), tail).alias("value"))
+    """Stored documents, one for every 4096 order keys, written line by line and read in splits."""
+    lines = src.feature_lines(whole_stories(spark, sf).withColumn("fd_id", F.split("bid", "-")[0].cast("long")))
+    doc = F.expr("CAST(get_json_object(value, '$.properties.fd_id') AS BIGINT) DIV 4096")
+    place = F.row_number().over(Window.partitionBy("doc").orderBy("value"))
+    body = lines.withColumn("doc", doc).withColumn("pos", place).withColumn("value", F.when(F.col("pos") == 1, F.col("value")).otherwise(F.concat(F.lit(", "), "value")))
+    ends = F.array(F.struct(F.lit(0).alias("pos"), F.lit('{"type": "FeatureCollection", "features": [').alias("value")), F.struct(F.lit(2**31 - 1).alias("pos"), F.lit("]}").alias("value")))
+    edges = body.select("doc").distinct().select("doc", F.inline(ends))
     path = scratch_dir(spark)
-    docs.repartition(16, "part").select("value").write.option("maxRecordsPerFile", 1).text(path)
+    body.unionByName(edges).repartition("doc").sortWithinPartitions("doc", "pos").drop("pos").write.partitionBy("doc").text(path)
     return feature_sums(src.read_feature_collection(spark, path))
 
 
@@ -374,19 +378,26 @@ def _(spark, sf):
 
 @query(
     "snk07_write_mode",
-    sql("SELECT state, count(*) AS n, true AS refused FROM bldg GROUP BY 1", "bldg"),
+    sql("SELECT state, count(*) AS n, true AS refused, true AS kept FROM bldg GROUP BY 1", "bldg"),
 )
 def _(spark, sf):
-    """A second write is refused unless it is told to replace; then the rows are there once."""
+    """A second write is refused unless it is told to replace; one that fails midway leaves the old rows."""
     path, df = scratch_dir(spark), b.bldg(spark, sf)
-    writers.write_inventory(df, path)
+    writers.write_inventory(df.where("state = 'Texas'"), path)
     try:
         writers.write_inventory(df, path)
         refused = False
     except AnalysisException:
         refused = True
+    broken = df.withColumn("occtype", F.when(F.col("state") == "Florida", F.raise_error(F.lit("midway"))).otherwise(F.col("occtype")))
+    try:
+        writers.write_inventory(broken, path, overwrite=True)
+        kept = False
+    except Exception:  # whatever the lost task raised: the old table counts
+        kept = [r.state for r in spark.read.parquet(path).select("state").distinct().collect()] == ["Texas"]
     writers.write_inventory(df, path, overwrite=True)
-    return src.read_inventory(spark, path).groupBy("state").agg(F.count("*").alias("n")).withColumn("refused", F.lit(refused))
+    read = src.read_inventory(spark, path).groupBy("state").agg(F.count("*").alias("n"))
+    return read.withColumns({"refused": F.lit(refused), "kept": F.lit(kept)})
 
 
 @query(
@@ -475,8 +486,35 @@ def _(spark, sf):
     return inv.block_join_table(b.bldg(spark, sf))
 
 
+STATE_CODES = [("Florida", "FL", "12"), ("Georgia", "GA", "13"), ("South Carolina", "SC", "45"), ("Texas", "TX", "48")]
+
+
 @query(
     "snk08_manifest",
+    sql(
+        f"SELECT s.state, replace(s.state, ' ', '_') AS state_path, abbr, fips, s.n AS feature_count, coalesce(o.n, 0) AS output_rows, true AS sized, 'spark' AS engine FROM "
+        f"(SELECT state, count(*) AS n FROM bldg GROUP BY 1) s JOIN ({b.values(STATE_CODES, 'state, abbr, fips')}) c ON c.state = s.state "
+        "LEFT JOIN (SELECT state, count(DISTINCT bid) AS n FROM bldg WHERE occtype IS NOT NULL AND state <> 'Texas' GROUP BY 1) o ON o.state = s.state",
+        "bldg",
+    ),
+)
+def _(spark, sf):
+    """Raw feature lines and stored inventory by state, their files measured, as the written JSON has it."""
+    root, rows = scratch_dir(spark), whole_stories(spark, sf)
+    src.feature_lines(rows.withColumn("firmzone", F.col("state"))).write.text(f"{root}/raw")
+    good = rows.where("occtype IS NOT NULL AND state <> 'Texas'")
+    writers.write_inventory(inv.dedup_inventory(good, ["state", "bid"]), f"{root}/stored")
+    states = writers.state_manifest(spark.read.text(f"{root}/raw"), spark.read.parquet(f"{root}/stored"), F.get_json_object("value", "$.properties.firmzone"))
+    writers.write_manifest(states, f"{root}/manifest", engine="spark")
+    number = "bigint"
+    shape = f"engine string, state string, state_path string, abbr string, fips string, feature_count {number}, raw_bytes {number}, raw_files {number}, output_rows {number}, output_bytes {number}, output_files {number}"
+    read = spark.read.text(f"{root}/manifest").select(F.from_json("value", shape).alias("m")).select("m.*")
+    sized = (F.col("raw_bytes") > 0) & (F.col("raw_files") > 0) & ((F.col("output_bytes") > 0) == (F.col("output_rows") > 0)) & ((F.col("output_files") > 0) == (F.col("output_rows") > 0))
+    return read.select("state", "state_path", "abbr", "fips", "feature_count", "output_rows", sized.alias("sized"), "engine")
+
+
+@query(
+    "snk08_run_manifest",
     sql(
         "SELECT s.state, replace(s.state, ' ', '_') AS state_path, s.n AS feature_count, coalesce(o.n, 0) AS output_rows FROM (SELECT state, count(*) AS n FROM bldg GROUP BY 1) s "
         "LEFT JOIN (SELECT state, count(*) AS n FROM clipped GROUP BY 1) o ON o.state = s.state",
@@ -485,5 +523,6 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
+    """Rows of the inventory before and after a run's clip."""
     df = b.bldg(spark, sf)
     return writers.manifest(df, plan.clipped_inventory(df, b.meta(spark, sf)))

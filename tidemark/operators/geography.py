@@ -90,6 +90,28 @@ def distinct_geographies(df: DataFrame, approximate: bool = False) -> DataFrame:
     return (pairs if approximate else pairs.distinct()).agg(count("county_geoid").alias("counties"), count("tract_geoid").alias("tracts"))
 
 
+# relative standard error of a sketch of 2^k buckets
+SKETCH_BITS = 14
+
+
+def sketch_error(bits: int = SKETCH_BITS) -> float:
+    """Relative standard error of a distinct count from sketches of ``2 ** bits`` buckets."""
+    return 1.04 / 2 ** (bits / 2)
+
+
+def geography_sketches(df: DataFrame, keys: Sequence[str], columns: Sequence[str] = ("county_geoid", "tract_geoid", "fltyid"), bits: int = SKETCH_BITS) -> DataFrame:
+    """Mergeable sketches of the distinct values of ``columns`` for each of ``keys``, to be stored.
+
+    A sketch has a fixed size, so runs of new events add theirs without reading old results again.
+    """
+    return df.groupBy(*keys).agg(*[F.hll_sketch_agg(c, bits).alias(c) for c in columns])
+
+
+def count_sketches(sketches: DataFrame, keys: Sequence[str] = (), columns: Sequence[str] = ("county_geoid", "tract_geoid", "fltyid")) -> DataFrame:
+    """Distinct values over stored sketches, merged by ``keys`` (all into one row without any)."""
+    return sketches.groupBy(*keys).agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(f"n_{c}") for c in columns])
+
+
 def join_svi(areas: DataFrame, svi: DataFrame) -> DataFrame:
     return areas.join(svi, "FIPS", "left")
 

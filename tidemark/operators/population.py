@@ -211,6 +211,24 @@ def event_inventory(inventory: DataFrame, event_states: DataFrame, event: str |
     return inventory.join(exploded, "state")
 
 
+# states that one event can name
+MOST_STATES = 256
+
+
+def in_event_states(inventory: DataFrame, event_states: DataFrame, event: str) -> DataFrame:
+    """The inventory rows in the states of one event, once each.
+
+    States may be spelled with spaces or underscores. The semi-join is on the stored partition
+    column alone: Spark evaluates the few states first and opens no folder of another one. For that
+    their side is broadcast; an event of more than ``MOST_STATES`` of them fails.
+    """
+    of_event = event_states.where(F.col("event") == event).select(F.explode("states").alias("_s")).agg(F.collect_set("_s").alias("_s"))
+    checked = F.when(F.size("_s") <= MOST_STATES, F.col("_s")).otherwise(F.raise_error(F.lit("an event names too many states")))
+    few = of_event.select(F.explode(checked).alias("_s"))
+    spelled = F.array_distinct(F.array("_s", F.replace("_s", F.lit("_"), F.lit(" ")), F.replace("_s", F.lit(" "), F.lit("_"))))
+    return inventory.join(F.broadcast(few.select(F.explode(spelled).alias("state"))), "state", "left_semi")
+
+
 def population_long(zones: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """The wide zone table with one row per key and zone that has anyone in it."""
     rows = [

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed, impact, text
-from tidemark.operators import damage, geography, population, spatial
+from tidemark.operators import damage, geography, naming, population, spatial
 from tidemark.operators import inventory as inv
 from tidemark.operators.curves import Lookups
 
@@ -46,8 +46,10 @@ class RunParams:
     override: str = "intended"
     utm_zone: str = "point"
     salts: int = 1
-    # states that the event touches; none means all. Stored partitions of other states are not read.
+    # states to read; none means all. Stored partitions of other states are not read.
     states: Sequence[str] = ()
+    # event of the event table given to the run: its states and its rasters only
+    event: str | None = None
 
     @classmethod
     def of(cls, overrides: Mapping | None = None) -> RunParams:
@@ -92,15 +94,30 @@ def clipped_inventory(inventory: DataFrame, raster_meta: DataFrame, policy: str
     return inv.engine_columns(best, extra)
 
 
+def of_event(inventory: DataFrame, raster_meta: DataFrame, events: DataFrame | None, event: str) -> tuple[DataFrame, DataFrame]:
+    """Inventory and rasters of one event. ``events``: ``event, states array<string>, raster_pattern``."""
+    if events is None:
+        raise ValueError("a run of one event needs the event table")
+    named = naming.rasters_of_events(events.where(F.col("event") == event), raster_meta)
+    return population.in_event_states(inventory, events, event), named.select(*raster_meta.columns)
+
+
 def damage_by_raster(
     inventory: DataFrame,
     raster_meta: DataFrame,
     raster_pixels: DataFrame,
     lookups: Lookups,
     params: RunParams | None = None,
+    events: DataFrame | None = None,
 ) -> DataFrame:
-    """Stored inventory to per-building, per-raster results with event and advisory."""
+    """Stored inventory to per-building, per-raster results with event and advisory.
+
+    With ``event`` among the parameters, ``events`` names its states and rasters; the scan leaves out
+    the stored partitions of other states.
+    """
     p = params or RunParams()
+    if p.event is not None:
+        inventory, raster_meta = of_event(inventory, raster_meta, events, p.event)
     engine = clipped_inventory(inventory, raster_meta, p.policy, p.states)
     rows = inv.apply_field_map(engine, ENGINE_MAPPING)
     # event and advisory come from the raster's name, once per raster
@@ -121,6 +138,7 @@ def run_impact(
     lookups: Lookups,
     svi: DataFrame,
     params: RunParams | None = None,
+    events: DataFrame | None = None,
 ) -> DataFrame:
     """Inventory and rasters to the final area table, in one plan.
 
@@ -128,7 +146,7 @@ def run_impact(
     the inventory.
     """
     p = params or RunParams()
-    results = inv.lowercase_columns(damage_by_raster(inventory, raster_meta, raster_pixels, lookups, p))
+    results = inv.lowercase_columns(damage_by_raster(inventory, raster_meta, raster_pixels, lookups, p, events))
     best = geography.dedup_predictions(results.select("fltyid", "occ", "cbfips", "depth_grid", "bldgdmgpct"))
     homes = inv.residential_filter(best.withColumn("cbfips", text.block_fips(F.col("cbfips"))), p.building_types)
     placed = geography.classify(geography.with_geoids(homes, p.null_geoid), p.categories)

@@ -99,9 +99,40 @@ def parse_feature_collections(docs: DataFrame) -> DataFrame:
     return _feature_columns(docs.select(F.explode(parsed["features"]).alias("f")), "f")
 
 
-def read_feature_collection(spark: SparkSession, path: str) -> DataFrame:
-    """GeoJSON documents, one per file; documents are read in parallel."""
-    return parse_feature_collections(spark.read.text(path, wholetext=True))
+# What stands between two features of a document whose features begin with their type.
+FEATURE_MARK = '"Feature"'
+
+
+def parse_feature_pieces(pieces: DataFrame) -> DataFrame:
+    """What lies between the marks ``"Feature"`` of GeoJSON documents, in column ``value``, to rows.
+
+    A piece begins with the rest of one feature and ends with what leads to the next. Pieces that
+    open a document hold no feature. A feature that does not begin with its type, or that is no
+    sound JSON, fails the job; so does a property whose whole value is the mark.
+    """
+    piece = text.strip(F.regexp_replace("value", "^\\x{FEFF}", ""))
+    head = piece.startswith("{")
+    opens = piece.rlike(r'\{\s*"type"\s*:$')
+    closes = piece.rlike(r"\}\s*\][^\[]*\}$") | piece.rlike(r"\}$")
+    bad = F.when(head & ~opens & piece.contains('"features"') & ~piece.rlike(r'"features"\s*:\s*\[\s*\]'), F.lit("features do not begin with their type")).when(
+        ~head & ~(piece.startswith(",") & (opens | closes)), F.lit("a feature does not begin with its type")
+    )
+    ok = F.when(bad.isNotNull(), F.raise_error(F.concat(bad, F.lit(": read the documents whole"))).cast("boolean")).otherwise(~head)
+    found = pieces.where(piece != "").where(ok)
+    whole = F.concat(F.lit('{"type":"Feature"'), piece)
+    return _feature_columns(found.select(F.from_json(whole, schema.FEATURE, {"mode": "FAILFAST"}).alias("f")), "f")
+
+
+def read_feature_collection(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
+    """GeoJSON documents, one or more files, each with a ``features`` array.
+
+    The mark between features serves as record separator, so one large document is read by many
+    tasks and is never one string. ``whole`` parses each file as one value instead, for documents
+    whose features do not begin with their type.
+    """
+    if whole:
+        return parse_feature_collections(spark.read.text(path, wholetext=True))
+    return parse_feature_pieces(spark.read.option("lineSep", FEATURE_MARK).text(path))
 
 
 def feature_lines(df: DataFrame) -> DataFrame:

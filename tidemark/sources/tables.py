@@ -34,11 +34,10 @@ def read_validation_table(spark: SparkSession, path: str) -> DataFrame:
 def read_event_states(spark: SparkSession, path: str) -> DataFrame:
     """Event map from YAML: ``event, states array<string>, raster_pattern``.
 
-    The file is a settings file of a few dozen lines, read on the driver.
+    The file is a settings file of a few dozen lines. Spark reads it, from any file system.
     """
     import yaml
 
-    with open(path, encoding="utf-8") as handle:
-        events = yaml.safe_load(handle)["events"]
-    rows = [(name, list(e["states"]), e.get("raster_pattern")) for name, e in events.items()]
+    body = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+    rows = [(name, list(e["states"]), e.get("raster_pattern")) for name, e in yaml.safe_load(body)["events"].items()]
     return spark.createDataFrame(rows, "event string, states array<string>, raster_pattern string")
