@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry import base as b
+from registry import damage_queries as dq
 from registry.base import query, sql
 from tidemark.functions import fixed, text
 from tidemark.operators import damage as od
@@ -538,7 +539,7 @@ def _(spark, sf):
 @query(
     "imp14_event_run",
     sql(
-        "SELECT GridName, state, status, count(*) AS n, round(sum(Depth_Grid), 2) AS depth, round(sum(BldgLossUSD), 2) AS loss FROM res_event_sampled GROUP BY 1, 2, 3",
+        f"SELECT GridName, state, status, count(*) AS n, round(sum(Depth_Grid), 2) AS depth, {dq.total_sql('BldgLossUSD')} FROM res_event_sampled GROUP BY 1, 2, 3",
         "res_event_sampled",
     ),
 )
@@ -551,7 +552,7 @@ def _(spark, sf):
     params = plan.RunParams.of({"event": "storm_f"})
     out = plan.damage_by_raster(stored, b.meta(spark, sf), b.pixels(spark, sf), b.lookups(spark), params, spark.read.parquet(f"{path}/events"))
     return out.groupBy("GridName", "state", "status").agg(
-        F.count("*").alias("n"), F.round(F.sum("Depth_Grid"), 2).alias("depth"), F.round(F.sum("BldgLossUSD"), 2).alias("loss")
+        F.count("*").alias("n"), F.round(F.sum("Depth_Grid"), 2).alias("depth"), *dq.total("BldgLossUSD")
     )
 
 

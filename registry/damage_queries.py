@@ -307,7 +307,7 @@ def _(spark, sf):
 @query(
     "dmg16_scattered_rasters",
     sql(
-        "SELECT GridName, flExp, count(*) AS n, round(sum(Depth_Grid), 2) AS depth, round(sum(BldgLossUSD), 2) AS loss "
+        "SELECT GridName, flExp, count(*) AS n, round(sum(Depth_Grid), 2) AS depth, " + total_sql("BldgLossUSD") + " "
         "FROM res_far_sampled GROUP BY 1, 2",
         "res_far_sampled",
     ),
@@ -316,7 +316,7 @@ def _(spark, sf):
     """Forty storms in one run, too far apart for few boxes to hold them."""
     out = plan.damage_by_raster(b.far_bldg(spark, sf), b.far_meta(spark, sf), b.far_pixels(spark, sf), b.lookups(spark))
     return out.groupBy("GridName", "flExp").agg(
-        F.count("*").alias("n"), F.round(F.sum("Depth_Grid"), 2).alias("depth"), F.round(F.sum("BldgLossUSD"), 2).alias("loss")
+        F.count("*").alias("n"), F.round(F.sum("Depth_Grid"), 2).alias("depth"), *total("BldgLossUSD")
     )
 
 
@@ -396,7 +396,7 @@ def _(spark, sf):
 
     meta = b.meta(spark, sf)
     rows = plan.clipped_inventory(b.bldg(spark, sf), meta)
-    located = spatial.grid_position(rows.join(meta, "raster_id"), "Longitude", "Latitude")
+    located = spatial.grid_position(spatial.with_meta(rows, meta), "Longitude", "Latitude")
     sampled = spatial.sample_depth(located, b.pixels(spark, sf), salts=4, salt_on="FltyId")
     return sampled.groupBy("raster_id", "depth_grid").agg(F.count("*").alias("n"))
 

@@ -15,6 +15,7 @@ from tidemark.functions import impact as fi
 from tidemark.functions import text
 from tidemark.operators import boundaries, spatial
 from tidemark.operators import inventory as inv
+from tidemark.operators import tiles
 from tidemark.plans import impact as plan
 from tidemark.session import scratch_dir
 from tidemark.sinks import writers
@@ -72,7 +73,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     meta = b.meta(spark, sf)
-    rows = plan.clipped_inventory(b.bldg(spark, sf), meta).join(meta, "raster_id")
+    rows = spatial.with_meta(plan.clipped_inventory(b.bldg(spark, sf), meta), meta)
     located = spatial.grid_position(rows, "Longitude", "Latitude")
     out = spatial.sample_depth(located, b.pixels(spark, sf))
     return out.groupBy("raster_id", "state").agg(
@@ -80,6 +81,24 @@ def _(spark, sf):
     )
 
 
+@query(
+    "spa03_sample_tiles",
+    sql(
+        "SELECT raster_id, state, count(*) AS n, count(*) FILTER (WHERE depth_grid > 0) AS wet, round(sum(depth_grid), 2) AS depth FROM sampled GROUP BY 1, 2",
+        "sampled",
+    ),
+)
+def _(spark, sf):
+    """Depths from stored tiles, cut so that buildings cross many of them."""
+    meta, path = b.meta(spark, sf), scratch_dir(spark)
+    tiles.write_tiles(b.pixels(spark, sf), path, size=8, copies=2)
+    rows = spatial.with_meta(plan.clipped_inventory(b.bldg(spark, sf), meta), meta)
+    out = spatial.sample_depth(spatial.grid_position(rows, "Longitude", "Latitude"), tiles.read_tiles(spark, path))
+    return out.groupBy("raster_id", "state").agg(
+        F.count("*").alias("n"), F.count_if(F.col("depth_grid") > 0).alias("wet"), F.round(F.sum("depth_grid"), 2).alias("depth")
+    )
+
+
 def utm_sql() -> str:
     """Forward transverse Mercator of the building places, written from the published series."""
     a, e2, k = "6378137e0", 0.00669438, "9996e-4"

@@ -12,6 +12,7 @@ from tidemark.functions import fixed, text
 from tidemark.operators import inventory as inv
 from tidemark.operators import spatial
 from tidemark.operators.curves import KINDS, Lookups
+from tidemark.operators.tiles import TiledPixels
 
 
 USER_CURVE = {"b": "f_bddf", "k": "f_cddf", "i": "f_iddf"}
@@ -266,7 +267,7 @@ def run_damage(
     mapping: Mapping[str, str] | Sequence[str],
     flood_class: str,
     raster_meta: DataFrame,
-    raster_pixels: DataFrame,
+    raster_pixels: DataFrame | TiledPixels,
     lookups: Lookups,
     rasters: str | Sequence[str] | None = None,
     clip: bool = True,
@@ -287,7 +288,8 @@ def run_damage(
     if rasters is not None:
         names = raster_list(rasters)
         raster_meta = raster_meta.where(F.col("raster_id").isin(names))
-        raster_pixels = raster_pixels.where(F.col("raster_id").isin(names))
+        named = lambda raster_id: raster_id.isin(names)
+        raster_pixels = raster_pixels.where_raster(named) if isinstance(raster_pixels, TiledPixels) else raster_pixels.where(named(F.col("raster_id")))
     elif not clip:
         raise ValueError("clip=False needs the raster names")
     names_of = inv.normalize_field_map(mapping)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def salted(df: DataFrame, seed: Column, salts: int) -> DataFrame:
@@ -14,3 +15,18 @@ def salted(df: DataFrame, seed: Column, salts: int) -> DataFrame:
 def replicated(df: DataFrame, salts: int) -> DataFrame:
     """The other side of :func:`salted`: each row once per salt value."""
     return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
+# copies of a small side that rows choose from
+SPREAD = 16
+
+
+def with_few(df: DataFrame, few: DataFrame, key: str, copies: int = SPREAD) -> DataFrame:
+    """Rows joined with a small table of unique keys, a key of many rows split over ``copies`` tasks.
+
+    The planner broadcasts the small side by its size; the copies matter where it is shuffled.
+    """
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    left = df.withColumn("_copy", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(copies)).cast("int"))
+    right = few.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return left.join(right, [key, "_copy"]).drop("_copy")

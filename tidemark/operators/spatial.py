@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions import fixed, geo
 from tidemark.operators.extents import BOUNDS, packed_extents
-from tidemark.operators.joins import replicated, salted
+from tidemark.operators.joins import replicated, salted, with_few
+from tidemark.operators.tiles import TiledPixels, look_up
 
 EDGE_SAMPLES = 21
 
@@ -85,8 +86,8 @@ def near_rasters(rows: DataFrame, bounds: DataFrame, lon: str = "longitude", lat
     return rows.where(keep)
 
 
-# cell of what has no place on earth
-NOWHERE = -(1 << 63)
+# cells of what has no place on earth: rows are dealt to them by hash
+NOWHERE, NOWHERE_CELLS = -(1 << 63), 64
 
 
 def bbox_join(
@@ -105,7 +106,7 @@ def bbox_join(
     ``prune`` narrows the scan of the buildings first, see :func:`near_rasters`.
 
     With ``nowhere``, rows it holds for and rows whose coordinates are NULL or beyond the earth
-    share one more cell that every raster lists: they come once per raster.
+    share some more cells that every raster lists: they come once per raster.
     """
     if prune and nowhere is None:
         buildings = near_rasters(buildings, bounds, lon, lat)
@@ -113,13 +114,16 @@ def bbox_join(
     listed = bounds.withColumn("_xs", xs).withColumn("_ys", ys)
     cells = F.flatten(F.transform("_xs", lambda x: F.transform("_ys", lambda y: geo.cell_code(x, y))))
     if nowhere is not None:
-        cells = F.concat(F.coalesce(cells, F.array().cast("array<long>")), F.array(F.lit(NOWHERE)))
+        beyond = F.transform(F.sequence(F.lit(0), F.lit(NOWHERE_CELLS - 1)), lambda k: F.lit(NOWHERE) + k)
+        cells = F.concat(F.coalesce(cells, F.array().cast("array<long>")), beyond)
     listed = listed.withColumn("_cell", F.explode(cells)).drop("_xs", "_ys")
     code = geo.cell_id(on_earth(lon, 360), on_earth(lat, 90), cell)
-    code = code if nowhere is None else F.when(nowhere, F.lit(NOWHERE)).otherwise(code)
-    placed = buildings.withColumn("_cell", F.coalesce(code, F.lit(NOWHERE)))
+    plain = [f.name for f in buildings.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    beyond = F.lit(NOWHERE) + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(NOWHERE_CELLS))
+    code = code if nowhere is None else F.when(nowhere, beyond).otherwise(code)
+    placed = buildings.withColumn("_cell", F.coalesce(code, beyond))
     inside = F.col(lon).between(F.col("xmin"), F.col("xmax")) & F.col(lat).between(F.col("ymin"), F.col("ymax"))
-    return placed.join(listed, "_cell").where(inside | (F.col("_cell") == NOWHERE)).drop("_cell")
+    return placed.join(listed, "_cell").where(inside | (F.col("_cell") < NOWHERE + NOWHERE_CELLS)).drop("_cell")
 
 
 def rasters_over(
@@ -166,7 +170,7 @@ def on_earth(name: str, most: float) -> Column:
 def every_raster(buildings: DataFrame, meta: DataFrame, raster_ids: Sequence[str]) -> DataFrame:
     """Every building once per named raster, also where it lies outside the extent."""
     ids = F.array(*[F.lit(i) for i in raster_ids])
-    return buildings.withColumn("raster_id", F.explode(ids)).join(meta, "raster_id")
+    return with_meta(buildings.withColumn("raster_id", F.explode(ids)), meta)
 
 
 def project_utm(df: DataFrame, lon: str, lat: str, zone: Column | None = None, where: str = "true") -> DataFrame:
@@ -209,15 +213,20 @@ def valid_pixels(pixels: DataFrame, meta: DataFrame) -> DataFrame:
     """Pixels that hold a value: not NULL and not the raster's nodata mark."""
     marks = meta.select("raster_id", "nodata")
     return (
-        pixels.join(marks, "raster_id")
+        with_meta(pixels, marks)
         .where(F.col("value").isNotNull() & ~F.col("value").eqNullSafe(F.col("nodata")))
         .drop("nodata")
     )
 
 
+def with_meta(df: DataFrame, meta: DataFrame) -> DataFrame:
+    """Rows with the metadata of their raster. A raster under a large share of the rows is split."""
+    return with_few(df, meta, "raster_id")
+
+
 def sample_depth(
     located: DataFrame,
-    pixels: DataFrame,
+    pixels: DataFrame | TiledPixels,
     salts: int = 1,
     salt_on: str | None = None,
 ) -> DataFrame:
@@ -226,19 +235,23 @@ def sample_depth(
     ``located`` comes from :func:`grid_position`. The pixel side has one row per key,
     so a pixel that holds many buildings can only skew the building side, which
     adaptive execution splits. ``salts > 1`` spreads hot pixels explicitly instead,
-    by the hash of ``salt_on``, at the price of repeating the pixels.
+    by the hash of ``salt_on``, at the price of repeating the pixels. Stored tiles
+    (:mod:`tidemark.operators.tiles`) are looked up where they lie.
     """
     keys = ["raster_id", "r", "c"]
-    depth = pixels.where(F.col("value").isNotNull()).select(*keys, "value")
+    depth_grid = F.when(F.col("in_grid") & ~F.col("value").eqNullSafe(F.col("_mark")), F.coalesce("value", F.lit(0.0))).otherwise(F.lit(0.0))
     # the nodata mark is on each building row already, so no pixel meets the metadata
     left = located.withColumn("_mark", F.col("nodata"))
     left = left.drop(*[c for c in META_COLUMNS + BOUNDS if c in left.columns])
+    if isinstance(pixels, TiledPixels):
+        return look_up(left, pixels, salt_on).withColumn("depth_grid", depth_grid).drop("value", "in_grid", "r", "c", "_mark")
+    depth = pixels.where(F.col("value").isNotNull()).select(*keys, "value")
     if salts > 1:
         left, depth = salted(left, F.col(salt_on), salts), replicated(depth, salts)
         keys = [*keys, "salt"]
     return (
         left.join(depth, keys, "left")
-        .withColumn("depth_grid", F.when(F.col("in_grid") & ~F.col("value").eqNullSafe(F.col("_mark")), F.coalesce("value", F.lit(0.0))).otherwise(F.lit(0.0)))
+        .withColumn("depth_grid", depth_grid)
         .drop("value", "in_grid", "r", "c", "salt", "_mark")
     )
 
@@ -276,7 +289,7 @@ def wet_cells(
     pixel always finds its cell; ``cover="centre"`` lists the cell of the pixel centre
     only. A stride above 1 samples the wet pixels and may lose wet buildings.
     """
-    full = pixels.where("value > 0").join(meta, "raster_id").where(~F.col("value").eqNullSafe(F.col("nodata")))
+    full = with_meta(pixels.where("value > 0"), meta).where(~F.col("value").eqNullSafe(F.col("nodata")))
     grid = every_nth_wet(full, stride)
 
     # index 0 also serves points just outside the first row or column

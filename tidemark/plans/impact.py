@@ -12,6 +12,7 @@ from tidemark.functions import fixed, impact, text
 from tidemark.operators import damage, geography, naming, population, spatial
 from tidemark.operators import inventory as inv
 from tidemark.operators.curves import Lookups
+from tidemark.operators.tiles import TiledPixels
 
 ENGINE_MAPPING = {
     "UserDefinedFltyId": "FltyId",
@@ -105,7 +106,7 @@ def of_event(inventory: DataFrame, raster_meta: DataFrame, events: DataFrame | N
 def damage_by_raster(
     inventory: DataFrame,
     raster_meta: DataFrame,
-    raster_pixels: DataFrame,
+    raster_pixels: DataFrame | TiledPixels,
     lookups: Lookups,
     params: RunParams | None = None,
     events: DataFrame | None = None,
@@ -124,7 +125,7 @@ def damage_by_raster(
     named = raster_meta.withColumns(
         {"event": text.raster_event(F.col("raster_id")), "adv": text.raster_advisory(F.col("raster_id"))}
     )
-    placed = rows.join(named, "raster_id")
+    placed = spatial.with_meta(rows, named)
     located = spatial.grid_position(placed, "f_lon", "f_lat", p.utm_zone)
     sampled = spatial.sample_depth(located, raster_pixels, p.salts, "f_id")
     keep = [c for c in engine.columns if c != "raster_id"] + ["event", "adv"]
@@ -134,7 +135,7 @@ def damage_by_raster(
 def run_impact(
     inventory: DataFrame,
     raster_meta: DataFrame,
-    raster_pixels: DataFrame,
+    raster_pixels: DataFrame | TiledPixels,
     lookups: Lookups,
     svi: DataFrame,
     params: RunParams | None = None,
