@@ -152,6 +152,26 @@ def far_meta(spark: SparkSession, sf: str) -> DataFrame:
     return meta(spark, sf, FAR_KEYS, FAR_META)
 
 
+# --- projected rasters in zone 17, under buildings on both sides of its border ----------
+UTM_BLDG = {**BLDG, "longitude": f"{BLDG['longitude']} + CAST('2.5' AS DOUBLE)"}
+UTM_META = {
+    **META,
+    "x0": "CASE substring(raster_id, 6, 1) WHEN 'F' THEN CAST(650000 AS DOUBLE) WHEN 'O' THEN CAST(662000 AS DOUBLE) ELSE CAST(674000 AS DOUBLE) END",
+    "y0": "CAST(3093000 AS DOUBLE)",
+    "pixel_width": "CAST(1800 AS DOUBLE)",
+    "pixel_height": "CAST(2500 AS DOUBLE)",
+}
+UTM_ZONE = 17
+
+
+def utm_bldg(spark: SparkSession, sf: str) -> DataFrame:
+    return project(table(spark, sf, "lineitem"), UTM_BLDG)
+
+
+def utm_meta(spark: SparkSession, sf: str) -> DataFrame:
+    return meta(spark, sf, places=UTM_META).withColumns({"projected": F.lit(True), "zone": F.lit(UTM_ZONE)})
+
+
 # --- lookups: made-up curves and rates, stated by a rule ---------------------------
 SOIDS = (
     [f"R1{m}{s}" for m in ("1", "2", "3", "S") for s in "NB"]
@@ -511,6 +531,73 @@ def damage_sql(source: str, flood_code: str, override: bool) -> dict[str, tuple[
 
 
 CTES.update(damage_sql("sampled", "CAE", False))
+
+
+# transverse Mercator from the published series, both ways, as nested selects over ``source``
+_A, _K, _E2 = "6378137e0", "9996e-4", 0.00669438
+_EP = f"{_E2 / (1 - _E2):.17e}"
+
+
+def forward_sql(source: str, lat: str, lon: str, zone: str) -> str:
+    """``source`` with columns ``utm_x`` and ``utm_y`` in metres, north of the equator."""
+    arc = (1 - _E2 / 4 - 3 * _E2**2 / 64 - 5 * _E2**3 / 256, 3 * _E2 / 8 + 3 * _E2**2 / 32 + 45 * _E2**3 / 1024, 15 * _E2**2 / 256 + 45 * _E2**3 / 1024, 35 * _E2**3 / 3072)
+    m0, m2, m4, m6 = (f"{v:.17e}" for v in arc)
+    return (
+        f"SELECT *, {_K} * tn * (ta + ta**3 / 6 * (1 - tt + tc) + ta**5 / 120 * (5 - 18 * tt + tt**2 + 72 * tc - 58 * {_EP})) + 5e5 AS utm_x, "
+        f"{_K} * (tm + tn * tan(phi) * (ta**2 / 2 + ta**4 / 24 * (5 - tt + 9 * tc + 4 * tc**2) + ta**6 / 720 * (61 - 58 * tt + tt**2 + 600 * tc - 330 * {_EP}))) AS utm_y FROM ("
+        f"SELECT *, cos(phi) * lam AS ta, tan(phi)**2 AS tt, {_EP} * cos(phi)**2 AS tc, {_A} / sqrt(1 - {_E2!r}e0 * sin(phi)**2) AS tn, "
+        f"{_A} * ({m0} * phi - {m2} * sin(2 * phi) + {m4} * sin(4 * phi) - {m6} * sin(6 * phi)) AS tm FROM ("
+        f"SELECT *, radians({lat}) AS phi, radians({lon} - (6 * {zone} - 183)) AS lam FROM ({source})))"
+    )
+
+
+def inverse_sql(source: str, x: str, y: str, zone: str) -> str:
+    """``source`` with columns ``lon`` and ``lat`` in degrees, north of the equator."""
+    root = (1 - _E2) ** 0.5
+    e1 = (1 - root) / (1 + root)
+    terms = [3 * e1 / 2 - 27 * e1**3 / 32, 21 * e1**2 / 16 - 55 * e1**4 / 32, 151 * e1**3 / 96, 1097 * e1**4 / 512]
+    series = " + ".join(f"{v:.17e} * sin({2 * i + 2} * mu)" for i, v in enumerate(terms))
+    arc = f"{1 - _E2 / 4 - 3 * _E2**2 / 64 - 5 * _E2**3 / 256:.17e}"
+    return (
+        f"SELECT *, degrees(phi - tan(phi) * iw / (1 - {_E2!r}e0) * (d**2 / 2 - d**4 / 24 * (5 + 3 * it + 10 * ic - 4 * ic**2 - 9 * {_EP}) + d**6 / 720 * (61 + 90 * it + 298 * ic + 45 * it**2 - 252 * {_EP} - 3 * ic**2))) AS lat, "
+        f"degrees((d - d**3 / 6 * (1 + 2 * it + ic) + d**5 / 120 * (5 - 2 * ic + 28 * it - 3 * ic**2 + 8 * {_EP} + 24 * it**2)) / cos(phi)) + 6 * {zone} - 183 AS lon FROM ("
+        f"SELECT *, ({x} - 5e5) * sqrt(iw) / ({_A} * {_K}) AS d FROM (SELECT *, {_EP} * cos(phi)**2 AS ic, tan(phi)**2 AS it, 1 - {_E2!r}e0 * sin(phi)**2 AS iw FROM ("
+        f"SELECT *, mu + {series} AS phi FROM (SELECT *, {y} / ({_K} * {_A} * {arc}) AS mu FROM ({source})))))"
+    )
+
+
+# each edge at 22 places, widened by the most that it can bend between two of them
+_TRACE = (
+    "SELECT raster_id, w, e, s, n, q.px AS px, q.py AS py FROM (SELECT raster_id, w, e, s, n, unnest(["
+    + ", ".join(f"struct_pack(px := {x}, py := {y})" for x, y in (("w + f * (e - w)", "n"), ("w + f * (e - w)", "s"), ("w", "s + f * (n - s)"), ("e", "s + f * (n - s)")))
+    + "]) AS q FROM (SELECT *, unnest(range(22)) / 21e0 AS f FROM (SELECT raster_id, x0 AS w, y0 AS n, x0 + pixel_width * n_cols AS e, y0 - pixel_height * n_rows AS s FROM utm_meta)))"
+)
+_UNIT = f"({_K} * {_A} * (1 - {_E2!r}e0))"
+_BEND = f"11e-1 * degrees((greatest(max(e) - min(w), max(n) - min(s)) / 21e0 / {_UNIT})**2 / 8)"
+_COSH = f"(exp(greatest(abs(max(e) - 5e5), abs(min(w) - 5e5)) / {_UNIT}) + exp(-greatest(abs(max(e) - 5e5), abs(min(w) - 5e5)) / {_UNIT})) / 2"
+_FLAT = f"cos(max(n) / {_UNIT})**2"
+cte("utm_bldg", select(UTM_BLDG, "lineitem"))
+cte("utm_meta", select(UTM_META, "(SELECT DISTINCT raster_id FROM pixel_keys)"), "pixel_keys")
+cte(
+    "utm_bounds",
+    f"SELECT raster_id, min(lon) - ({_BEND} * {_COSH} / {_FLAT} + 1e-9) AS xmin, min(lat) - ({_BEND} * ({_COSH} + 5e-1) / {_FLAT} + 1e-9) AS ymin, "
+    f"max(lon) + ({_BEND} * {_COSH} / {_FLAT} + 1e-9) AS xmax, max(lat) + ({_BEND} * ({_COSH} + 5e-1) / {_FLAT} + 1e-9) AS ymax "
+    f"FROM ({inverse_sql(_TRACE, 'px', 'py', str(UTM_ZONE))}) GROUP BY raster_id",
+    "utm_meta",
+)
+cte("utm_clipped", re.sub(r"\b(FROM|JOIN) (bldg|bounds)\b", r"\1 utm_\2", CTES["clipped"][1]), "utm_bldg", "utm_bounds")
+for _way, _zone in (("point", "(floor((Longitude + 180) / 6) + 1)"), ("raster", str(UTM_ZONE))):
+    cte(
+        f"utm_sampled_{_way}",
+        "SELECT e.* EXCLUDE (phi, lam, ta, tt, tc, tn, tm, utm_x, utm_y), CASE WHEN e.r >= 0 AND e.r < n_rows AND e.c >= 0 AND e.c < n_cols AND p.value IS NOT NULL "
+        "AND p.value <> nodata THEN p.value ELSE CAST(0 AS DOUBLE) END AS depth_grid FROM (SELECT *, trunc((utm_x - x0) / pixel_width) AS c, trunc((y0 - utm_y) / pixel_height) AS r FROM ("
+        + forward_sql("SELECT k.*, m.nodata, m.n_rows, m.n_cols, m.x0, m.y0, m.pixel_width, m.pixel_height FROM utm_clipped k JOIN utm_meta m USING (raster_id)", "Latitude", "Longitude", _zone)
+        + ")) e LEFT JOIN pixels p ON p.raster_id = e.raster_id AND p.r = e.r AND p.c = e.c",
+        "utm_clipped",
+        "utm_meta",
+        "pixels",
+    )
+    CTES.update(damage_sql(f"utm_sampled_{_way}", "CAE", False))
 # the same chain for the states and rasters of one event
 EVENT_STATES = ("Florida", "Georgia")
 cte("event_bldg", f"SELECT * FROM bldg WHERE state IN {EVENT_STATES}", "bldg")

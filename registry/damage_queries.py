@@ -320,6 +320,21 @@ def _(spark, sf):
     )
 
 
+def projected_run(way):
+    body = "SELECT GridName, flExp, count(*) AS n, round(sum(Depth_Grid), 2) AS depth, {} FROM res_utm_sampled_{} GROUP BY 1, 2"
+
+    @query(f"dmg16_projected_{way}_zone", sql(body.format(total_sql("BldgLossUSD"), way), f"res_utm_sampled_{way}"))
+    def _(spark, sf):
+        """A run over rasters in metres."""
+        params = plan.RunParams.of({"utm_zone": way})
+        out = plan.damage_by_raster(b.utm_bldg(spark, sf), b.utm_meta(spark, sf), b.pixels(spark, sf), b.lookups(spark), params)
+        return out.groupBy("GridName", "flExp").agg(F.count("*").alias("n"), F.round(F.sum("Depth_Grid"), 2).alias("depth"), *total("BldgLossUSD"))
+
+
+projected_run("point")
+projected_run("raster")
+
+
 @query(
     "dmg17_run_counters",
     sql(

@@ -100,19 +100,9 @@ def _(spark, sf):
 
 
 def utm_sql() -> str:
-    """Forward transverse Mercator of the building places, written from the published series."""
-    a, e2, k = "6378137e0", 0.00669438, "9996e-4"
-    ep = f"{e2 / (1 - e2):.17e}"
-    arc = (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256, 3 * e2 / 8 + 3 * e2**2 / 32 + 45 * e2**3 / 1024, 15 * e2**2 / 256 + 45 * e2**3 / 1024, 35 * e2**3 / 3072)
-    m0, m2, m4, m6 = (f"{v:.17e}" for v in arc)
-    return (
-        "SELECT round(x, -3) AS x_km, round(y, -3) AS y_km, count(*) AS n FROM ("
-        f"SELECT {k} * n * (a + a**3 / 6 * (1 - t + c) + a**5 / 120 * (5 - 18 * t + t**2 + 72 * c - 58 * {ep})) + 5e5 AS x, "
-        f"{k} * (m + n * tan(phi) * (a**2 / 2 + a**4 / 24 * (5 - t + 9 * c + 4 * c**2) + a**6 / 720 * (61 - 58 * t + t**2 + 600 * c - 330 * {ep}))) AS y FROM ("
-        f"SELECT phi, cos(phi) * lam AS a, tan(phi)**2 AS t, {ep} * cos(phi)**2 AS c, {a} / sqrt(1 - {e2!r}e0 * sin(phi)**2) AS n, "
-        f"{a} * ({m0} * phi - {m2} * sin(2 * phi) + {m4} * sin(4 * phi) - {m6} * sin(6 * phi)) AS m FROM ("
-        "SELECT radians(latitude) AS phi, radians(longitude - (6 * (floor((longitude + 180) / 6) + 1) - 183)) AS lam FROM bldg))) GROUP BY ALL"
-    )
+    """Forward transverse Mercator of the building places, in each place's own zone."""
+    zone = "(floor((longitude + 180) / 6) + 1)"
+    return f"SELECT round(utm_x, -3) AS x_km, round(utm_y, -3) AS y_km, count(*) AS n FROM ({b.forward_sql('SELECT * FROM bldg', 'latitude', 'longitude', zone)}) GROUP BY ALL"
 
 
 @query("spa04_project_utm", sql(utm_sql(), "bldg"))
@@ -122,6 +112,34 @@ def _(spark, sf):
     return out.groupBy(F.round("utm_x", -3).alias("x_km"), F.round("utm_y", -3).alias("y_km")).agg(F.count("*").alias("n"))
 
 
+@query(
+    "spa01_projected_bounds",
+    sql("SELECT raster_id, round(xmin, 5) AS xmin, round(ymin, 5) AS ymin, round(xmax, 5) AS xmax, round(ymax, 5) AS ymax FROM utm_bounds", "utm_bounds"),
+)
+def _(spark, sf):
+    """Extents of rasters in metres, traced along their edges and widened by their bend."""
+    bounds = spatial.raster_bounds(b.utm_meta(spark, sf))
+    return bounds.select("raster_id", *[F.round(c, 5).alias(c) for c in BOUND_COLS[1:]])
+
+
+def projected_sample(way):
+    text_ = "SELECT raster_id, state, count(*) AS n, count(*) FILTER (WHERE depth_grid > 0) AS wet, round(sum(depth_grid), 2) AS depth FROM {0} GROUP BY 1, 2"
+
+    @query(f"spa03_projected_{way}_zone", sql(text_.format(f"utm_sampled_{way}"), f"utm_sampled_{way}"))
+    def _(spark, sf):
+        """Depths of rasters in metres under buildings of two zones."""
+        meta = b.utm_meta(spark, sf)
+        rows = spatial.with_meta(plan.clipped_inventory(b.utm_bldg(spark, sf), meta), meta)
+        out = spatial.sample_depth(spatial.grid_position(rows, "Longitude", "Latitude", way), b.pixels(spark, sf))
+        return out.groupBy("raster_id", "state").agg(
+            F.count("*").alias("n"), F.count_if(F.col("depth_grid") > 0).alias("wet"), F.round(F.sum("depth_grid"), 2).alias("depth")
+        )
+
+
+projected_sample("point")
+projected_sample("raster")
+
+
 @query(
     "src08_pixel_table",
     sql(
