@@ -206,16 +206,16 @@ def _(spark, sf):
 @query(
     "spa05_wet_cells_stride",
     sql(
-        "SELECT raster_id, count(DISTINCT (cx, cy)) AS n_cells FROM (SELECT raster_id, "
+        "SELECT raster_id, count(*) AS n_cells, CAST(sum(cx * 4294967296 + cy + 2147483648) AS BIGINT) AS id_sum FROM (SELECT DISTINCT raster_id, cx, cy FROM (SELECT raster_id, "
         f"floor((x0 + (c + CAST('0.5' AS DOUBLE)) * pixel_width) / {CELL}) AS cx, floor((y0 - (r + CAST('0.5' AS DOUBLE)) * pixel_height) / {CELL}) AS cy, "
-        "row_number() OVER (PARTITION BY raster_id ORDER BY r, c) AS k FROM pixels JOIN meta USING (raster_id) WHERE value > 0) WHERE (k - 1) % 4 = 0 GROUP BY 1",
+        "row_number() OVER (PARTITION BY raster_id ORDER BY r, c) AS k FROM pixels JOIN meta USING (raster_id) WHERE value > 0) WHERE (k - 1) % 4 = 0) GROUP BY 1",
         "pixels",
         "meta",
     ),
 )
 def _(spark, sf):
     cells = spatial.wet_cells(b.pixels(spark, sf), b.meta(spark, sf), 0.0625, stride=4, cover="centre")
-    return cells.groupBy("raster_id").agg(F.count("*").alias("n_cells"))
+    return cells.groupBy("raster_id").agg(F.count("*").alias("n_cells"), F.sum("cell").alias("id_sum"))
 
 
 @query(
