@@ -42,9 +42,43 @@ def test_small_tables_are_exact(spark, rows):
     assert ann.nearest(table.limit(0), table.limit(0)).count() == 0
 
 
+def recall(spark, x, shard_rows=8192, step=20):
+    """Share of the true neighbours found, by products that neither overflow nor vanish."""
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.nearest(table, table.where(f"vec_id % {step} = 0"), 20, shard_rows=shard_rows).collect():
+        found.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    near = np.ldexp(x, -int(np.frexp(np.abs(x).max())[1]))
+    hits = 0
+    for q, own in found.items():
+        score = near @ np.ldexp(x[q], -int(np.frexp(np.abs(x[q]).max())[1]))
+        score[q] = -np.inf
+        hits += len({*own.values()} & {*np.argsort(-score, kind="stable")[:20].tolist()})
+    assert len(found) == len(range(0, len(x), step)) and all(sorted(own) == list(range(1, 21)) for own in found.values())
+    return hits / 20 / len(found)
+
+
+@pytest.mark.parametrize("kind", ["one long vector", "twelve decades", "1e160", "1e-170"])
+def test_recall_at_any_norm(spark, kind):
+    x = np.random.default_rng(6).normal(size=(2500, 24))
+    if kind == "one long vector":
+        x[17] *= 1e4
+    elif kind == "twelve decades":
+        x *= 10 ** np.random.default_rng(7).uniform(-6, 6, (2500, 1))
+    else:
+        x *= float(kind)
+    assert recall(spark, x) >= 0.95
+
+
+def test_recall_over_two_dozen_shards(spark):
+    x = np.random.default_rng(8).normal(size=(6000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert recall(spark, x.astype(np.float32).astype(np.float64), shard_rows=240, step=60) >= 0.95
+
+
 def test_every_shard_is_searched_alike(spark, monkeypatch):
     widths, search = [], ann.search_shard
-    monkeypatch.setattr(ann, "search_shard", lambda k, ef: widths.append(ef) or search(k, ef))
+    monkeypatch.setattr(ann, "search_shard", lambda k, ef, top=0: widths.append(ef) or search(k, ef, top))
     x = np.random.default_rng(4).normal(size=(3000, 64))
     table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     queries = table.where("vec_id % 50 = 0")

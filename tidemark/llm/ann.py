@@ -1,11 +1,14 @@
 """Nearest neighbours by inner product: a hierarchical navigable small-world graph per shard.
 
-Rows are dealt to shards of about ``SHARD`` vectors by a hash of their id, so a vector that very
-many rows share is spread too; inside a shard equal vectors are one node with many ids. Every
-node gets one more coordinate that makes all norms of the shard equal, which turns the largest
-inner product into the nearest point. A graph is kept as flat neighbour arrays, one row of a
+Rows are dealt to shards of about ``SHARD`` vectors by the band of their norm, which a factor of two
+spans, and by a hash of their id, so a vector that very many rows share is spread too; inside a shard
+equal vectors are one node with many ids. Every node gets one more coordinate that makes all norms of
+the shard equal, which turns the largest inner product into the nearest point; since norms of a shard
+differ little, that coordinate never drowns the others, whatever the norms of the table. A graph is kept as flat neighbour arrays, one row of a
 table per shard. Queries meet every shard in blocks, each shard answers with its best ``k``, and
-the answers are merged. Scores are inner products of the original vectors in double precision.
+the answers are merged. Scores are inner products of the original vectors in double precision. The
+order is that of the same products scaled by powers of two, which is the order of the scores wherever
+these do not overflow or vanish; there the order stays true although the scores are equal.
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do
 rows without id. Only vectors of one length are compared. An id given twice counts once, with
@@ -146,28 +149,35 @@ def build(points: np.ndarray, seed: int) -> Graph:
 
 
 # --- shards ------------------------------------------------------------------------
-GRAPH = "dim int, shard int, ids binary, owners binary, vectors binary, links binary, layers binary, entry int, scale double"
+GRAPH = "dim int, band int, shard int, ids binary, owners binary, vectors binary, links binary, layers binary, entry int, scale double"
+
+
+def level(vectors: np.ndarray, band: int, scale: float | None = None) -> tuple[np.ndarray, float]:
+    """Vectors of one band with one more coordinate, all of length one, and the norm they were divided by."""
+    near_one = np.ldexp(vectors, -band)
+    norm = np.linalg.norm(near_one, axis=1)
+    scale = float(norm.max()) if scale is None else scale
+    return np.hstack([near_one / scale, np.sqrt(np.maximum(0, 1 - (norm / scale) ** 2))[:, None]]).astype(np.float32), scale
 
 
 def build_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """One graph as flat arrays: ids by node, vectors, and per layer its members and links."""
-    dim, shard = key
+    dim, band, shard = key
     vectors = np.array(rows["v"].tolist(), np.float64).reshape(-1, dim)
     distinct, owner = np.unique(vectors, axis=0, return_inverse=True)
     owner = owner.ravel()
     order = np.lexsort((rows["vec_id"], owner))
     place = np.stack([owner[order], rows["vec_id"].to_numpy()[order]])
     order = order[np.append(True, (place[:, 1:] != place[:, :-1]).any(0))]  # repeated rows once
-    norm = np.linalg.norm(distinct, axis=1)
-    scale = float(norm.max())
-    points = np.hstack([distinct / scale, np.sqrt(np.maximum(0, 1 - (norm / scale) ** 2))[:, None]])
+    points, scale = level(distinct, band)
     shuffle = np.random.default_rng(seeded("order", dim, shard)).permutation(len(distinct))
     back = np.argsort(shuffle)
-    graph = build(points[shuffle].astype(np.float32), seeded("levels", dim, shard))
+    graph = build(points[shuffle], seeded("levels", dim, shard))
     layers = [np.flatnonzero(place != EMPTY) for place in graph.rows[1 : len(graph.links)]]
     return pd.DataFrame(
         {
             "dim": [dim],
+            "band": [band],
             "shard": [shard],
             "ids": [rows["vec_id"].to_numpy()[order].astype(np.int64).tobytes()],
             "owners": [back[owner[order]].astype(np.int32).tobytes()],
@@ -184,8 +194,7 @@ def load_shard(row) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
     """The graph, the original vectors, and ids with where each node's begin."""
     dim = int(row.dim)
     vectors = np.frombuffer(row.vectors, np.float64).reshape(-1, dim)
-    norm = np.linalg.norm(vectors, axis=1)
-    points = np.hstack([vectors / row.scale, np.sqrt(np.maximum(0, 1 - (norm / row.scale) ** 2))[:, None]]).astype(np.float32)
+    points, _ = level(vectors, int(row.band), row.scale)
     flat, links, rows, at = np.frombuffer(row.links, np.int32), [], [np.arange(len(points))], 0
     marks = np.frombuffer(row.layers, np.int32)
     members = [np.arange(len(points)), *[x[x != EMPTY] for x in np.split(marks, np.flatnonzero(marks == EMPTY) + 1)[:-1]]]
@@ -202,49 +211,65 @@ def load_shard(row) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
     return Graph(points, links, rows[1:], int(row.entry)), vectors, ids[order], begin
 
 
-def search_shard(k: int, ef: int):
+def search_shard(k: int, ef: int, top: int = 0):
+    """``top``: the highest band of the table, to which products are scaled."""
+
     def search(key: tuple, graphs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "vec_id": [], "score": []}
+        out = {"query_id": [], "vec_id": [], "near": [], "score": []}
         if len(graphs) and len(queries):
             graph, vectors, ids, begin = load_shard(graphs.iloc[0])
+            band = int(graphs.iloc[0].band)
             for query_id, v in zip(queries["query_id"], queries["v"], strict=True):
                 q = np.asarray(v, np.float64)
-                nodes = graph.query(np.append(q / np.linalg.norm(q), 0).astype(np.float32), max(ef, k + 1))
-                score = (vectors[nodes] * q).sum(1)
+                unit = np.ldexp(q, -int(np.frexp(np.abs(q).max())[1]))
+                nodes = graph.query(np.append(unit / np.linalg.norm(unit), 0).astype(np.float32), max(ef, k + 1))
+                with np.errstate(over="ignore", invalid="ignore"):
+                    score = (vectors[nodes] * q).sum(1)
+                near = np.ldexp((np.ldexp(vectors[nodes], -band) * unit).sum(1), band - top)
                 # of one node's ids only the k + 1 smallest can be among the answers
                 own = [ids[begin[n] : min(begin[n + 1], begin[n] + k + 1)] for n in nodes]
                 size = [len(x) for x in own]
-                found, score = np.concatenate(own), np.repeat(score, size)
-                score, found = score[found != query_id], found[found != query_id]
-                best = np.lexsort((found, -score))
+                found, score, near = np.concatenate(own), np.repeat(score, size), np.repeat(near, size)
+                other = found != query_id
+                score, near, found = score[other], near[other], found[other]
+                best = np.lexsort((found, -near))
                 best = best[np.sort(np.unique(found[best], return_index=True)[1])[:k]]
                 out["query_id"].append(np.full(len(best), query_id))
                 out["vec_id"].append(found[best])
+                out["near"].append(near[best])
                 out["score"].append(score[best])
-        return pd.DataFrame({c: np.concatenate(x) if x else np.zeros(0, np.float64 if c == "score" else np.int64) for c, x in out.items()})
+        return pd.DataFrame({c: np.concatenate(x) if x else np.zeros(0, np.float64 if c in ("near", "score") else np.int64) for c, x in out.items()})
 
     return search
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``(vec_id, v, dim)`` of the rows that take part."""
+    """``(vec_id, v, dim, band)`` of the rows that take part. ``band``: the nearest power of two of the norm."""
     rows = pick(vectors, vec_id="vec_id", v="embedding").where("vec_id is not null and v is not null").withColumn("v", F.col("v").cast("array<double>"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return rows.where(finite & F.exists("v", lambda x: x != 0)).withColumn("dim", F.size("v"))
+    rows = rows.where(finite & F.exists("v", lambda x: x != 0)).withColumn("dim", F.size("v"))
+    most = F.array_max(F.transform("v", F.abs))
+    squares = F.aggregate("v", F.lit(0.0), lambda total, x: total + (x / F.col("most")) * (x / F.col("most")))
+    norm = F.log2("most") + F.log2(squares) / 2
+    return rows.withColumn("most", most).withColumn("band", F.round(norm).cast("int")).drop("most")
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, ef: int = EF, shard_rows: int = SHARD) -> DataFrame:
     """``(query_id, rank, vec_id, score)``. Both tables have vec_id and embedding."""
     rows, asked = usable(vectors), usable(queries)
-    shards = 1 + vectors.count() // shard_rows
+    # doubles have some two thousand bands, most tables a few
+    held = {r.band: 1 + r.n // shard_rows for r in rows.groupBy("band").agg(F.count("*").alias("n")).collect()} or {0: 1}
     blocks = 1 + queries.count() // BLOCK
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    graphs = stored(rows.groupBy("dim", "shard").applyInPandas(build_shard, GRAPH))
-    held = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    bands = F.array(*[F.struct(F.lit(b).alias("band"), F.lit(n).alias("shards")) for b, n in sorted(held.items())])
+    shards = F.element_at(F.map_from_entries(bands), F.col("band"))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), shards).cast("int"))
+    graphs = stored(rows.groupBy("dim", "band", "shard").applyInPandas(build_shard, GRAPH))
+    held_graphs = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = asked.select("dim", F.col("vec_id").alias("query_id"), "v", F.pmod(F.xxhash64(F.lit(7), F.col("vec_id")), F.lit(blocks)).cast("int").alias("block"))
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    key = ["dim", "shard", "block"]
-    found = held.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(search_shard(k, ef), "query_id long, vec_id long, score double")
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    asked = asked.select("*", F.inline(bands)).select("dim", "query_id", "v", "block", "band", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
+    key = ["dim", "band", "shard", "block"]
+    search = search_shard(k, ef, max(held))
+    found = held_graphs.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(search, "query_id long, vec_id long, near double, score double")
+    found = found.groupBy("query_id", "vec_id").agg(F.max(F.struct("near", "score")).alias("best")).select("query_id", "vec_id", "best.*")
+    order = Window.partitionBy("query_id").orderBy(F.desc("near"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
