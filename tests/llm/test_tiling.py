@@ -35,6 +35,37 @@ def test_tiles():
         tile = min(rng.randint(1, 4), len(item))
         mine = tiling.tiles(np.array(item, np.uint64), np.array(doc, np.uint64), tile)
         assert mine == plain_tiles(item, doc, tile)
+        repeats = tiling.tiles_in_repeats(np.array(item, np.uint64), np.array(doc, np.uint64), tile)
+        assert repeats == mine
+
+
+def test_repetitive_texts_in_little_memory():
+    """Equal words by the thousand: the pairs of equal windows would take gigabytes."""
+    import tracemalloc
+
+    item, doc = np.full(2000, 7, np.uint64), np.full(200_000, 7, np.uint64)
+    assert tiling.pair_count(item, doc, 5) > 10**8
+    tracemalloc.start()
+    assert tiling.tiles(item, doc, 5) == [(2000, 0, 0)]
+    mixed = np.tile(np.arange(1, 4, dtype=np.uint64), 400)
+    found = tiling.tiles(np.append(mixed, np.uint64(9)), np.concatenate([mixed[:600], [np.uint64(8)], np.tile(mixed, 50)]), 5)
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+    assert found == [(1200, 0, 601)]
+
+
+def test_repetitive_documents_and_repeated_items(documents, spark):
+    word, other = "spam " * 400_000, "spam ham " * 30_000
+    docs = documents([(1, word), (2, other), (3, "clean words only here now")])
+    bench = spark.createDataFrame([(1, "spam " * 2000)] * 3 + [(2, "ham spam " * 500), (3, None)], "item_id long, text string")
+    found = sorted((r.doc_id, r.item_id, r.covered) for r in tiling.leaks(docs, bench).collect())
+    assert found == [(1, 1, 2000)] * 3 + [(2, 2, 1000)]
+    many = spark.range(100_000).selectExpr("7L AS item_id", "'one item given very often in the test set' AS text")
+    again = documents([(4, "so one item given very often in the test set"), (5, "nothing")])
+    blocks = list(tiling.blocks(many, 1000))
+    assert len(blocks) == 1 and blocks[0] == [(7, "one item given very often in the test set", 100_000)]
+    assert tiling.leaks(again, many).count() == 100_000
+    assert [r.doc_id for r in tiling.decontaminate(again, many).collect()] == [5]
 
 
 def direct(docs, items, tile=5, coverage=0.5):
