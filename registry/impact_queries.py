@@ -613,12 +613,12 @@ def _(spark, sf):
 TRUTH = {
     "event": "concat('E', o_orderstatus)",
     "state": "concat('S', CAST(o_custkey % 7 AS STRING))",
-    "county": "concat('C', CAST(o_custkey % 90 AS STRING))",
+    "county": "concat(CASE WHEN o_custkey % 90 < 80 THEN 'C' ELSE 'R' END, CAST(o_custkey % 90 AS STRING))",
     "planned": "CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE floor(o_totalprice / 5000) END",
     "actual": "CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE floor(o_totalprice / 3000) END",
 }
-# estimates reach nine counties further, so each side has some of its own
-ESTIMATED = {**TRUTH, "county": "concat('C', CAST(o_custkey % 90 + 9 AS STRING))"}
+# each side has some counties of its own
+ESTIMATED = {**TRUTH, "county": "concat(CASE WHEN o_custkey % 90 > 8 THEN 'C' ELSE 'E' END, CAST(o_custkey % 90 AS STRING))"}
 KEYS = ["event", "state", "county"]
 b.cte("truth", "SELECT event, state, county, CAST(sum(planned) AS DOUBLE) AS planned_shelter, CAST(sum(actual) AS DOUBLE) AS actual_shelter FROM ("
       + b.select(TRUTH, "orders") + ") GROUP BY 1, 2, 3")
