@@ -25,8 +25,11 @@ def with_few(df: DataFrame, few: DataFrame, key: str, copies: int = SPREAD) -> D
     """Rows joined with a small table of unique keys, a key of many rows split over ``copies`` tasks.
 
     The planner broadcasts the small side by its size; the copies matter where it is shuffled.
+    Rows are dealt by their id or grid place, or by all plain columns where they have neither:
+    one hash keeps the generated code of a long stage short.
     """
     plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    left = df.withColumn("_copy", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(copies)).cast("int"))
+    known = [c for c in ("f_id", "FltyId", "bid", "id") if c in plain][:1] or [c for c in ("r", "c") if c in plain] or plain
+    left = df.withColumn("_copy", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in known]), F.lit(copies)).cast("int"))
     right = few.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     return left.join(right, [key, "_copy"]).drop("_copy")
