@@ -17,6 +17,13 @@ def replicated(df: DataFrame, salts: int) -> DataFrame:
     return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash that tells rows apart: of their id or grid place, or of all plain columns."""
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    known = [c for c in ("f_id", "FltyId", "bid", "id") if c in plain][:1] or [c for c in ("r", "c") if c in plain] or plain
+    return F.xxhash64(*[F.col(f"`{c}`") for c in known])
+
+
 # copies of a small side that rows choose from
 SPREAD = 16
 
@@ -28,8 +35,6 @@ def with_few(df: DataFrame, few: DataFrame, key: str, copies: int = SPREAD) -> D
     Rows are dealt by their id or grid place, or by all plain columns where they have neither:
     one hash keeps the generated code of a long stage short.
     """
-    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    known = [c for c in ("f_id", "FltyId", "bid", "id") if c in plain][:1] or [c for c in ("r", "c") if c in plain] or plain
-    left = df.withColumn("_copy", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in known]), F.lit(copies)).cast("int"))
+    left = df.withColumn("_copy", F.pmod(row_hash(df), F.lit(copies)).cast("int"))
     right = few.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     return left.join(right, [key, "_copy"]).drop("_copy")

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import fixed, geo
 from tidemark.operators.extents import BOUNDS, packed_extents
-from tidemark.operators.joins import replicated, salted, with_few
+from tidemark.operators.joins import replicated, row_hash, salted, with_few
 from tidemark.operators.tiles import TiledPixels, look_up
 
 EDGE_SAMPLES = 21
@@ -118,8 +118,7 @@ def bbox_join(
         cells = F.concat(F.coalesce(cells, F.array().cast("array<long>")), beyond)
     listed = listed.withColumn("_cell", F.explode(cells)).drop("_xs", "_ys")
     code = geo.cell_id(on_earth(lon, 360), on_earth(lat, 90), cell)
-    plain = [f.name for f in buildings.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    beyond = F.lit(NOWHERE) + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(NOWHERE_CELLS))
+    beyond = F.lit(NOWHERE) + F.pmod(row_hash(buildings), F.lit(NOWHERE_CELLS))
     code = code if nowhere is None else F.when(nowhere, beyond).otherwise(code)
     placed = buildings.withColumn("_cell", F.coalesce(code, beyond))
     inside = F.col(lon).between(F.col("xmin"), F.col("xmax")) & F.col(lat).between(F.col("ymin"), F.col("ymax"))
