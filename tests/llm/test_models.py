@@ -1,7 +1,9 @@
 """Language identification, quality scores and secret scans: held-out accuracy and odd rows."""
 
 import hashlib
+import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -138,7 +140,7 @@ def test_inferred_format_adds_spans_and_leaves_prose(documents):
     short = HEXES[5][:23]  # too short for the hex pattern
     new = documents([(1, f"id {short} x"), (2, "internationalisation2 thereafter-nevertheless.however4"), (3, "41111111111111112222"), (4, f"token={HEXES[1]}")])
     rows = {r["doc_id"]: r for r in secrets.scan(new, model).collect()}
-    assert spelled(rows[1], False) in ("", "format:3:26")  # as likely as the labelled ones, or not
+    assert spelled(rows[1], False) == ""  # the learned values all have 40 digits
     assert spelled(rows[2], False) == spelled(rows[3], False) == ""
     assert spelled(rows[4], False) == direct(f"token={HEXES[1]}")
     masked = {r["doc_id"]: r for r in secrets.mask(new, model).collect()}
@@ -162,6 +164,83 @@ def test_merged_states_keep_the_language():
     assert len(states) < 9
 
 
+def test_fixed_lengths_are_learned():
+    states = secrets.infer([hashlib.sha1(f"s{i}".encode()).hexdigest() for i in range(600)])
+    assert len(states) >= 41
+    values = [secrets.Value.of(h) for h in HEXES]
+    grown = secrets.grown(values)
+    states, least = grown.pack(), grown.least(values)
+    fits = [sum(secrets.accepted(states, least, secrets.Value.of(hashlib.sha512(f"{n}-{i}".encode()).hexdigest()[:n]).head) is not None for i in range(200)) for n in (39, 40, 41)]
+    assert fits[0] == fits[2] == 0 and fits[1] > 170
+
+
+def test_rare_states_do_not_join_the_start():
+    values = [secrets.Value.of(v) for v in ["ab12-zz"] * 40 + ["ZZ9"] * 4]
+    grown = secrets.grown(values)
+    states, least = grown.pack(), grown.least(values)
+    assert secrets.accepted(states, least, values[0].head) is not None
+    assert all(secrets.accepted(states, least, secrets.Value.of(v).head) is None for v in ("ZZ9", "ab12-z", "zz-12ab", "ab12-zzab12-zz"))
+
+
+def planted(kind, rng):
+    letters = string.ascii_letters + string.digits
+    pick = lambda n, group: "".join(rng.choice(group) for _ in range(n))
+    return {"pat": lambda: "ghp_" + pick(36, letters), "number": lambda: "zk-" + pick(6, string.digits), "padded": lambda: pick(22, letters + "+/") + "=="}[kind]()
+
+
+def test_unlabelled_values_of_learned_formats_are_found(spark, sf, documents):
+    rng = random.Random(11)
+    kinds = ["pat", "number", "padded"]
+    prose = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").where("text is not null").collect()]
+    labelled = [(1_000_000 + i, f"api_key = '{planted(kinds[i % 3], rng)}' end") for i in range(300)]
+    hidden = [(2_000_000 + i, f"éé see {planted(kinds[i % 3], rng)} there") for i in range(300)]
+    model = secrets.fit(documents(prose + labelled))
+    rows = {r["doc_id"]: r for r in secrets.scan(documents(prose + hidden), model).collect()}
+    for k, kind in enumerate(kinds):
+        group = [(rows[d], t) for d, t in hidden[k::3]]
+        found = sum(spelled(r, False) == f"format:7:{len(t) - 6}" for r, t in group)
+        assert found >= 0.8 * len(group), (kind, found)
+    assert not any(x["kind"] == "format" for d, _ in prose for x in rows[d]["found"])
+
+
+def test_added_spans_against_every_run_on_its_own(spark, sf, documents):
+    rng = random.Random(12)
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").where("text is not null").collect()]
+    docs += [(1_000_000 + i, f"token={planted('pat', rng)} or {planted('pat', rng)}, {planted('number', rng)}") for i in range(90)]
+    model = secrets.fit(documents(docs))
+    rows = {r["doc_id"]: r for r in secrets.scan(documents(docs), model).collect()}
+    total = 0
+    for d, text in docs:
+        base = secrets.base_spans(text)
+        plain = []
+        for m in re.finditer("[A-Za-z0-9+/_.=-]{8,}", text):
+            if any(s < m.end() and m.start() < e for s, _, e, _ in base):
+                continue
+            best = [x for states, least in model["kinds"] if (x := secrets.accepted(states, least, m[0].encode("ascii").translate(secrets.CLASS_OF))) is not None]
+            if best and max(best) > secrets.likelihood(model["background"], m[0]):
+                plain.append(f"format:{m.start()}:{m.end()}")
+        total += len(plain)
+        assert [x for x in spelled(rows[d], False).split(",") if x.startswith("format")] == plain
+    assert total >= 70
+
+
+def test_very_long_labelled_values_are_learned_whole(documents):
+    rng = random.Random(13)
+    value = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([700, 900, 3000])))
+    docs = documents([(i, f"secret={value().upper()}") for i in range(60)])
+    model = secrets.fit(docs)
+    long, short = value().upper(), value().upper()[:60]
+    rows = {r["doc_id"]: r for r in secrets.scan(documents([(1, f"x {long} y"), (2, f"x {short} y")]), model).collect()}
+    assert spelled(rows[1], False) == f"format:2:{2 + len(long)}" and spelled(rows[2], False) == ""
+
+
+def test_model_is_the_same_whatever_the_partitions(documents, monkeypatch):
+    monkeypatch.setattr(secrets, "VALUES", 50)
+    monkeypatch.setattr(secrets, "TOKENS", 40)
+    docs = documents([(i, f"token={h} ordinary-{i} thereafter{i % 9}") for i, h in enumerate(HEXES)])
+    assert secrets.fit(docs.repartition(1)) == secrets.fit(docs.repartition(7)) == secrets.fit(docs.unionAll(docs))
+
+
 def test_secret_query(spark, sf):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in QUERIES["op3_secret_scan"](spark, sf).collect():
