@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import pick, slices
+from tidemark.llm.common import freed, pick, slices
 
 REMEMBERED = 150_000
 SHORT = 64
@@ -262,7 +262,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "ids"])
         vocab.forget()
 
-    return pick(docs, doc_id="doc_id", text="text").mapInArrow(task, "doc_id long, ids array<int>")
+    return pick(docs, doc_id="doc_id", text="text").mapInArrow(freed(task), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -276,4 +276,4 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 texts = [vocab.decode(ids.values.to_numpy(zero_copy_only=False).tolist() if ids.is_valid else []) for ids in piece.column(1)]
                 yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
 
-    return pick(encoded, doc_id="doc_id", ids="ids").mapInArrow(task, "doc_id long, ids array<int>, decoded string")
+    return pick(encoded, doc_id="doc_id", ids="ids").mapInArrow(freed(task), "doc_id long, ids array<int>, decoded string")
