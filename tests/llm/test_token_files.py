@@ -1,6 +1,7 @@
 """Token files: ids, order, pieces, indexes and checksums against the library and plain loops."""
 
 import glob
+import time
 import zlib
 
 import numpy as np
@@ -12,6 +13,7 @@ tokenizers = pytest.importorskip("tokenizers")
 from pyarrow import orc  # noqa: E402
 
 from tidemark.llm import token_files as tf  # noqa: E402
+from tidemark.llm.bpe import PATTERN, PLAIN_PATTERN  # noqa: E402
 from tidemark.llm.common import shared_dir  # noqa: E402
 from tidemark.llm.queries import QUERIES, vocabulary_path  # noqa: E402
 
@@ -91,6 +93,48 @@ def test_forgetting_changes_nothing(library, monkeypatch):
     assert got.tolist() == [i for e in library.encode_batch(texts, add_special_tokens=False) for i in [*e.ids, 0]]
 
 
+@settings(max_examples=1000, deadline=None)
+@given(st.lists(st.one_of(st.text(st.sampled_from(SPACES + "''rvemld1é\0"), max_size=30), st.text(st.characters(exclude_categories=["Cs"]), max_size=30)), max_size=6))
+def test_words_are_those_of_the_pattern(texts):
+    import regex
+
+    seen = []
+    coder = tf.Encoder.__new__(tf.Encoder)
+    coder.known = tf.Known(lambda words: [[seen.append(w) or len(seen) - 1] for w in words])
+    places, n = coder.encode_parts(texts, [])
+    want = [regex.findall(PATTERN, t) for t in texts]
+    assert [seen[p] for p in places.tolist()] == [w for words in want for w in words]
+    assert n.tolist() == [len(words) for words in want]
+
+
+def test_known_words_cost_less_than_cutting_them_out():
+    """CPU budget: repeated words must not become Python strings one by one."""
+    texts = ["It's the same few words, again and again; 12 of them.\n" * 200] * 100
+    coder = tf.Encoder(vocabulary_path())
+    coder.encode(texts[:1])
+
+    def least(task):
+        took = []
+        for _ in range(5):
+            at = time.process_time()
+            task()
+            took.append(time.process_time() - at)
+        return min(took)
+
+    assert least(lambda: coder.encode(texts)) < least(lambda: [PLAIN_PATTERN.findall(t) for t in texts])
+
+
+def test_words_met_last_are_kept():
+    calls = []
+    known = tf.Known(lambda words: [calls.append(w) or [ord(w), 7] for w in words])
+    known.places([*"abcd"])
+    known.places([*"ca"])
+    known.forget(2)
+    assert calls == [*"abcd"] and sorted(known) == ["a", "c"]
+    ids, ends = known.gather(known.places([*"cba"]))
+    assert ids.tolist() == [99, 7, 98, 7, 97, 7] and ends.tolist() == [2, 4, 6] and calls == [*"abcdb"]
+
+
 def test_checksum_of_pieces():
     data = np.random.default_rng(1).bytes(1000)
     for cut in (0, 1, 4, 500, 999, 1000):

@@ -13,8 +13,9 @@ A small manifest beside the files lists every part with its ids before it (``bas
 write, so a repeated task changes nothing. Only one row for each part reaches the driver.
 
 Encoding is that of the tokenizers library without added special tokens, then the end id. Texts are
-cut into words by the vocabulary's pattern, and the library's model encodes each distinct word of a task
-once: a word's ids do not depend on its neighbours. Special tokens in a text become their ids.
+cut into words by the vocabulary's pattern, a slice of texts in one array pass, and the library's model
+encodes the distinct words that a task does not remember: a word's ids do not depend on its neighbours.
+Only the distinct words of a slice become Python strings. Special tokens in a text become their ids.
 
 A null text is empty: its only id is the end id. Rows without id come first. Rows that repeat an id
 are documents each, in the order of a hash of their text; the range split falls between them, so a
@@ -25,17 +26,18 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import zlib
-from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import PATTERN, PLAIN_PATTERN, PLAIN_TEXT, byte_letters
+from tidemark.llm.bpe import byte_letters
 from tidemark.llm.common import pick, shared_dir, slices
 
 PIECE = 4096
@@ -46,6 +48,9 @@ REMEMBERED = 200_000
 # A longer text is encoded in stretches. No word of the pattern, and no special token, goes from a letter on to a space.
 STRETCH = 1 << 20
 BREAK = re.compile("(?<=[A-Za-z])(?= )")
+# What the vocabulary's pattern takes a character for; an edge stands between two texts.
+OTHER, LETTER, DIGIT, WHITE, EDGE = range(5)
+SPACE, QUOTE = ord(" "), ord("'")
 ROW = "doc_id long, part int, at long, n_tokens long, skipped long, ids array<int>"
 MANIFEST = "part int, first_doc long, last_doc long, documents long, tokens long, base long"
 
@@ -58,80 +63,163 @@ def stretches(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+def groups(texts: list[str]) -> Iterator[list[tuple[int, str]]]:
+    """Stretches with the places of their texts, about ``STRETCH`` characters at a time."""
+    group, size = [], 0
+    for k, text in enumerate(texts):
+        for stretch in stretches(text):
+            group.append((k, stretch))
+            size += len(stretch)
+            if size >= STRETCH:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group
+
+
+@lru_cache(1)
+def kinds() -> np.ndarray:
+    """Kind of every code point."""
+    import regex
+
+    out = np.full(sys.maxunicode + 1, OTHER, np.uint8)
+    every = "".join(map(chr, range(len(out))))
+    for kind, run in ((LETTER, r"\p{L}+"), (DIGIT, r"\p{N}+"), (WHITE, r"\s+")):
+        for m in regex.finditer(run, every):
+            out[m.start() : m.end()] = kind
+    return out
+
+
+def word_starts(codes: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Whether ``bpe.PATTERN`` begins a word at each character. An edge comes first and last, and is a word of its own."""
+    start = kind == EDGE
+    start[1:] |= kind[1:] != kind[:-1]
+    # white space leaves its last character to what follows; a space joins it
+    last = np.flatnonzero((kind[:-1] == WHITE) & (kind[1:] != WHITE) & (kind[1:] != EDGE))
+    start[last] = True
+    start[last[codes[last] == SPACE] + 1] = False
+    # 's 't 'm 'd 're 've 'll, where the quote begins a word; what follows begins the next
+    quote = np.flatnonzero(codes[1:] == QUOTE) + 1
+    quote = quote[(kind[quote - 1] != OTHER) & (codes[quote - 1] != SPACE)]
+    after = codes[quote + 1]
+    short = quote[np.isin(after, [*b"stmd"])]
+    long = quote[np.isin(after, [*b"rvl"])]
+    long = long[codes[long + 2] == np.where(codes[long + 1] == ord("l"), ord("l"), ord("e"))]
+    start[np.append(short, long) + 1] = False
+    start[np.append(short + 2, long + 3)] = True
+    return start
+
+
+def cut_words(parts: list[str], special: list[int]) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """Words of all parts with an edge before, between and after them, and the places of the edges."""
+    text = "\0" + "".join(part + "\0" for part in parts)
+    raw, codes = text.encode(), np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    edge = np.cumsum([0, *(len(part) + 1 for part in parts)])
+    kind = np.concatenate([kinds()[codes[lo : lo + STRETCH]] for lo in range(0, len(codes), STRETCH)])
+    kind[edge] = EDGE
+    start = word_starts(codes, kind)
+    for k in special:
+        start[edge[k] + 2 : edge[k + 1]] = False
+    at = np.flatnonzero(start)
+    edge = np.searchsorted(at, edge)
+    if len(raw) > len(codes):
+        width = sum((codes >= least for least in (0x80, 0x800, 0x10000)), np.ones(len(codes), np.uint8))
+        at = np.append(0, np.cumsum(np.add.reduceat(width, at, dtype=np.int64))[:-1])
+    return edge, pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(raw))), pa.py_buffer(raw)).dictionary_encode()
+
+
 class Known(dict):
-    """Words with the places of their ids; a new word is encoded when it is asked for."""
-
-    def __init__(self, encode_word: Callable[[str], list[int]], special: dict[str, int], older: Known | None = None):
-        self.encode_word, self.older = encode_word, older
-        self.flat, self.first, self.size = array("i"), array("q"), array("q")
-        for content, i in special.items():
-            self.hold(content, [i])
-
-    def hold(self, word: str, ids: list[int] | array) -> int:
-        self[word] = place = len(self.size)
-        self.first.append(len(self.flat))
-        self.size.append(len(ids))
-        self.flat.extend(ids)
-        return place
-
-    def __missing__(self, word: str) -> int:
-        old = self.older
-        if old is not None and (place := old.get(word)) is not None:
-            return self.hold(word, old.flat[old.first[place] : old.first[place] + old.size[place]])
-        return self.hold(word, self.encode_word(word))
-
-    def gather(self, places: np.ndarray) -> np.ndarray:
-        """Ids held at the places, one after another."""
-        size, first, flat = (np.frombuffer(a, t) for a, t in ((self.size, np.int64), (self.first, np.int64), (self.flat, np.int32)))
-        size = size[places]
+    """Words with the places of their ids, in the order of these."""
+
+    def __init__(self, encode_words: Callable[[list[str]], list[list[int]]]):
+        self.encode_words, self.now = encode_words, 0
+        self.flat, self.size, self.met = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """Places of distinct words; new ones are encoded."""
+        out = np.fromiter(map(self.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(out < 0)
+        new = [words[i] for i in missing.tolist()]
+        coded = self.encode_words(new)
+        out[missing] = np.arange(len(self), len(self) + len(new))
+        self.update(zip(new, out[missing].tolist(), strict=True))
+        self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(coded), np.int32))
+        self.size = np.append(self.size, np.fromiter(map(len, coded), np.int64, len(coded)))
+        self.met = np.append(self.met, np.zeros(len(new), np.int64))
+        self.now += 1
+        self.met[out] = self.now
+        return out
+
+    def gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids held at the places, one after another, and where those of each place end."""
+        size, first = self.size[places], (np.cumsum(self.size) - self.size)[places]
         ends = np.cumsum(size)
-        return flat[np.arange(ends[-1]) + np.repeat(first[places] - ends + size, size)]
+        ids = np.empty(size.sum(), np.int32)
+        for lo in range(0, len(places), STRETCH):
+            some = slice(lo, lo + STRETCH)
+            at, begin = np.repeat(first[some] - ends[some] + size[some], size[some]), ends[lo] - size[lo]
+            at += np.arange(begin, begin + len(at))
+            ids[begin : begin + len(at)] = self.flat[at]
+        return ids, ends
+
+    def forget(self, most: int) -> None:
+        """Keeps the words met last."""
+        keep = np.sort(np.argsort(-self.met, kind="stable")[:most])
+        words = [*self]
+        self.flat, self.size, self.met = self.gather(keep)[0], self.size[keep], self.met[keep]
+        self.clear()
+        self.update((words[i], place) for place, i in enumerate(keep.tolist()))
 
 
 class Encoder:
-    """Ids by the tokenizers library, remembered by word; words not met in two fillings are forgotten."""
+    """Ids by the tokenizers library, remembered by word: at twice ``REMEMBERED`` words the half met last stays."""
 
     def __init__(self, path: str, end_id: int = 0):
-        import regex
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path).model
-        self.words = regex.compile(PATTERN)
         with open(path, encoding="utf-8") as f:
             self.special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.letters = {b: c for c, b in byte_letters().items()}
+        # a byte that is in no text stands between words
+        self.letters = {b: c for c, b in byte_letters().items()} | {0xFF: "\n"}
         self.end_id = end_id
-        self.known = Known(self.encode_word, self.special)
+        self.known = Known(self.encode_words)
 
-    def encode_word(self, word: str) -> list[int]:
-        """The library's ids of one word of the pattern."""
-        spelled = word.replace(" ", self.letters[32]) if word.isascii() and word.isprintable() else "".join(map(self.letters.__getitem__, word.encode()))
-        return [t.id for t in self.model.tokenize(spelled)]
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        """The library's ids of words of the pattern, and the ids of special tokens."""
+        spelled = "\udcff".join(words).encode("utf-8", "surrogateescape").decode("latin-1").translate(self.letters).split("\n") if words else []
+        tokenize, special = self.model.tokenize, self.special
+        return [[special[word]] if word in special else [t.id for t in tokenize(letters)] for word, letters in zip(words, spelled, strict=True)]
 
     def split(self, text: str) -> list[str]:
-        """Words and special tokens of a text."""
-        cut = PLAIN_PATTERN.findall if PLAIN_TEXT.fullmatch(text) else self.words.findall
-        if not self.special or not any(s in text for s in self.special):
-            return cut(text)
-        return [w for k, part in enumerate(self.cut.split(text)) for w in ([part] if k % 2 else cut(part))]
+        """Text and special tokens by turns."""
+        return self.cut.split(text) if self.special and any(s in text for s in self.special) else [text]
+
+    def encode_parts(self, parts: list[str], special: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts in one array, and how many each part has. ``special`` are the places of special tokens."""
+        edge, words = cut_words(parts, special)
+        places = self.known.places(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids, ends = self.known.gather(places[np.delete(words.indices.to_numpy(), edge)])
+        return ids, np.diff(np.append(0, ends)[edge - np.arange(len(edge))])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, the end id after each, and how many each text has."""
         ids, n = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64)
-        for k, text in enumerate(texts):
-            for stretch in stretches(text):
-                places = np.fromiter(map(self.known.__getitem__, self.split(stretch)), np.int64)
-                if len(places):
-                    part = self.known.gather(places)
-                    ids.append(part)
-                    n[k] += len(part)
-                if len(self.known) > REMEMBERED:
-                    self.known.older = None
-                    self.known = Known(self.encode_word, self.special, self.known)
-            ids.append(np.array([self.end_id], np.int32))
-            n[k] += 1
-        return np.concatenate(ids), n
+        for group in groups(texts):
+            owner, parts, special = [], [], []
+            for k, stretch in group:
+                for turn, part in enumerate(self.split(stretch)):
+                    if turn % 2:
+                        special.append(len(parts))
+                    owner.append(k)
+                    parts.append(part)
+            found, sizes = self.encode_parts(parts, special)
+            ids.append(found)
+            np.add.at(n, owner, sizes)
+            if len(self.known) > 2 * REMEMBERED:
+                self.known.forget(REMEMBERED)
+        return np.insert(np.concatenate(ids), np.cumsum(n), self.end_id), n + 1
 
 
 @lru_cache(2)
