@@ -39,8 +39,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    path = vocabulary_path()
-    coded = bpe.decode(bpe.encode(docs, path), path)
+    coded = bpe.round_trip(docs, vocabulary_path())
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -47,3 +47,17 @@ def test_empty_tables(spark, folder, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{empty}/{name}.parquet")
     assert pipeline.run(spark, empty).count() == 0
+
+
+def test_tokens_run_in_one_worker_a_task(spark, folder, capsys):
+    """Two Python steps in one stage are two workers a task, each with the vocabulary: 4 instead of 2 an executor."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    out = pipeline.tokens(spark, docs, folder)
+    capsys.readouterr()
+    out.explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+    path = pipeline.vocabulary_path()
+    apart = pipeline.bpe.decode(pipeline.bpe.encode(docs, path), path)
+    rows = lambda df: sorted(map(tuple, df.select("doc_id", "ids", "decoded").collect()), key=str)
+    assert rows(pipeline.bpe.round_trip(docs, path)) == rows(apart)
+    assert out.count() == docs.count()

@@ -249,9 +249,7 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """``(doc_id, ids)`` for every row. ``path`` names the vocabulary file, present on each worker."""
-
+def encode_task(path: str):
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for batch in batches:
@@ -262,12 +260,10 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "ids"])
         vocab.forget()
 
-    return pick(docs, doc_id="doc_id", text="text").mapInArrow(freed(task), "doc_id long, ids array<int>")
-
+    return task
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """``(doc_id, ids, decoded)`` for rows of ``(doc_id, ids)``. Null ids decode to an empty text."""
 
+def decode_task(path: str):
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for batch in batches:
@@ -276,4 +272,20 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 texts = [vocab.decode(ids.values.to_numpy(zero_copy_only=False).tolist() if ids.is_valid else []) for ids in piece.column(1)]
                 yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
 
-    return pick(encoded, doc_id="doc_id", ids="ids").mapInArrow(freed(task), "doc_id long, ids array<int>, decoded string")
+    return task
+
+
+def encode(docs: DataFrame, path: str) -> DataFrame:
+    """``(doc_id, ids)`` for every row. ``path`` names the vocabulary file, present on each worker."""
+    return pick(docs, doc_id="doc_id", text="text").mapInArrow(freed(encode_task(path)), "doc_id long, ids array<int>")
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """``(doc_id, ids, decoded)`` for rows of ``(doc_id, ids)``. Null ids decode to an empty text."""
+    return pick(encoded, doc_id="doc_id", ids="ids").mapInArrow(freed(decode_task(path)), "doc_id long, ids array<int>, decoded string")
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """The rows of ``decode(encode(docs))`` from one worker a task: with two, each holds the vocabulary, and stays beside later stages."""
+    encoding, decoding = encode_task(path), decode_task(path)
+    return pick(docs, doc_id="doc_id", text="text").mapInArrow(freed(lambda batches: decoding(encoding(batches))), "doc_id long, ids array<int>, decoded string")
