@@ -294,18 +294,21 @@ def run_damage(
         raise ValueError("clip=False needs the raster names")
     names_of = inv.normalize_field_map(mapping)
     lon, lat = names_of["Longitude"], names_of["Latitude"]
+    known = None
     if clip and lon in inventory.columns and lat in inventory.columns:
-        inventory = spatial.near_rasters(inventory, spatial.raster_bounds(raster_meta), f"`{lon}`", f"`{lat}`")
+        bounds = spatial.raster_bounds(raster_meta)
+        known = spatial.surveyed(inventory, bounds, f"`{lon}`", f"`{lat}`")
+        inventory = spatial.near_rasters(inventory, bounds, f"`{lon}`", f"`{lat}`", known=known) if known else inventory
     rows = inv.apply_field_map(inventory, mapping)
     if clip:
         # what has no readable place cannot be clipped: such rows are reported once per raster
         blank = F.col("f_missing") & ((F.col("f_lat") == 0) | (F.col("f_lon") == 0))
-        placed = spatial.bbox_join(rows, spatial.raster_bounds(raster_meta), "f_lon", "f_lat", nowhere=blank)
+        placed = spatial.bbox_join(rows, spatial.raster_bounds(raster_meta), "f_lon", "f_lat", nowhere=blank, known=known)
         placed = placed.withColumns({"f_lat": spatial.on_earth("f_lat", 90), "f_lon": spatial.on_earth("f_lon", 360)})
     else:
         placed = spatial.every_raster(rows, raster_meta, names)
     located = spatial.grid_position(placed, "f_lon", "f_lat", utm_zone)
-    sampled = spatial.sample_depth(located, raster_pixels, salts, "f_id")
+    sampled = spatial.sample_depth(located, raster_pixels, salts, "f_id", raster_meta, known)
     return assess(sampled, inventory.columns, mapping, flood_class, lookups, override, qc)
 
 

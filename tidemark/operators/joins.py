@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,13 +30,20 @@ def row_hash(df: DataFrame) -> Column:
 SPREAD = 16
 
 
-def with_few(df: DataFrame, few: DataFrame, key: str, copies: int = SPREAD) -> DataFrame:
+# rows of a counted side that every task may hold
+HELD = 100_000
+
+
+def with_few(df: DataFrame, few: DataFrame, key: str, copies: int = SPREAD, counted: float = math.inf) -> DataFrame:
     """Rows joined with a small table of unique keys, a key of many rows split over ``copies`` tasks.
 
     The planner broadcasts the small side by its size; the copies matter where it is shuffled.
     Rows are dealt by their id or grid place, or by all plain columns where they have neither:
-    one hash keeps the generated code of a long stage short.
+    one hash keeps the generated code of a long stage short. Where the caller has counted the small
+    side (``counted`` rows) and every task can hold it, it is broadcast and no row moves.
     """
+    if counted <= HELD:
+        return df.join(F.broadcast(few), key)
     left = df.withColumn("_copy", F.pmod(row_hash(df), F.lit(copies)).cast("int"))
     right = few.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     return left.join(right, [key, "_copy"]).drop("_copy")

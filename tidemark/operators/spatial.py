@@ -7,6 +7,7 @@ ever shipped to a task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import fixed, geo
-from tidemark.operators.extents import BOUNDS, packed_extents
-from tidemark.operators.joins import replicated, row_hash, salted, with_few
+from tidemark.operators.extents import BOUNDS, Survey, survey
+from tidemark.operators.joins import HELD, replicated, row_hash, salted, with_few
 from tidemark.operators.tiles import TiledPixels, look_up
 
 EDGE_SAMPLES = 21
@@ -68,20 +69,27 @@ def _cells_of_box(cell: float) -> tuple[Column, Column]:
     )
 
 
-def near_rasters(rows: DataFrame, bounds: DataFrame, lon: str = "longitude", lat: str = "latitude", most: int = 32) -> DataFrame:
+def surveyed(rows: DataFrame, bounds: DataFrame, lon: str = "longitude", lat: str = "latitude", most: int = 32) -> Survey | None:
+    """The extents packed and counted by a job over the metadata, where the rows have numeric places."""
+    kinds = {f.name: f.dataType for f in rows.select(lon, lat).schema.fields}
+    return survey(bounds, most) if all(isinstance(k, T.NumericType) for k in kinds.values()) else None
+
+
+def near_rasters(rows: DataFrame, bounds: DataFrame, lon: str = "longitude", lat: str = "latitude", most: int = 32, known: Survey | None = None) -> DataFrame:
     """Rows in the packed extents of the rasters, as plain ranges that a stored table can skip by.
 
     Extents are merged by least added area into ``most`` boxes at most, however many rasters there
     are, so distant storms keep ranges of their own. Only these boxes reach the driver. This narrows
     the scan and decides nothing: the join with the extents stays exact. Rows without a readable
     place stay. Columns that are no doubles are compared as they are stored; text ones are not narrowed.
+    ``known``: the survey of the extents, where the caller has it.
     """
-    kinds = {f.name: f.dataType for f in rows.select(lon, lat).schema.fields}
-    if not all(isinstance(k, T.NumericType) for k in kinds.values()):
+    known = known or surveyed(rows, bounds, lon, lat, most)
+    if known is None:
         return rows
     x, y = F.col(lon), F.col(lat)
     keep = x.isNull() | y.isNull() | (y > 90) | (y < -90) | (x > 360) | (x < -360)
-    for xmin, ymin, xmax, ymax in packed_extents(bounds, most):
+    for xmin, ymin, xmax, ymax in known.boxes:
         keep = keep | (y.between(ymin, ymax) & x.between(xmin, xmax))
     return rows.where(keep)
 
@@ -98,18 +106,21 @@ def bbox_join(
     cell: float = 1.0,
     nowhere: Column | None = None,
     prune: bool = True,
+    known: Survey | None = None,
 ) -> DataFrame:
     """Pairs of building and raster with the building inside the raster extent.
 
     Extents are listed per coarse cell, so this is an equi-join on the cell with an
     exact BETWEEN test on top: no nested loop however many rasters there are.
-    ``prune`` narrows the scan of the buildings first, see :func:`near_rasters`.
+    ``prune`` narrows the scan of the buildings first, see :func:`near_rasters`. Where the extents
+    are surveyed and every task can hold their list, it is broadcast and no building moves.
 
     With ``nowhere``, rows it holds for and rows whose coordinates are NULL or beyond the earth
     share some more cells that every raster lists: they come once per raster.
     """
     if prune and nowhere is None:
-        buildings = near_rasters(buildings, bounds, lon, lat)
+        known = known or surveyed(buildings, bounds, lon, lat)
+        buildings = near_rasters(buildings, bounds, lon, lat, known=known) if known else buildings
     xs, ys = _cells_of_box(cell)
     listed = bounds.withColumn("_xs", xs).withColumn("_ys", ys)
     cells = F.flatten(F.transform("_xs", lambda x: F.transform("_ys", lambda y: geo.cell_code(x, y))))
@@ -122,6 +133,8 @@ def bbox_join(
     code = code if nowhere is None else F.when(nowhere, beyond).otherwise(code)
     placed = buildings.withColumn("_cell", F.coalesce(code, beyond))
     inside = F.col(lon).between(F.col("xmin"), F.col("xmax")) & F.col(lat).between(F.col("ymin"), F.col("ymax"))
+    entries = math.inf if known is None or cell < 1 else known.cells + (0 if nowhere is None else NOWHERE_CELLS * known.rasters)
+    listed = F.broadcast(listed) if entries <= HELD else listed
     return placed.join(listed, "_cell").where(inside | (F.col("_cell") < NOWHERE + NOWHERE_CELLS)).drop("_cell")
 
 
@@ -133,16 +146,19 @@ def rasters_over(
     cell: float = 1.0,
     prune: bool = True,
     in_row: int = 256,
+    known: Survey | None = None,
 ) -> DataFrame:
     """Buildings inside any raster extent, with the sorted array ``raster_ids``.
 
     The same test as :func:`bbox_join` without multiplying rows: each coarse cell
     carries the extents that touch it (metadata, one entry per raster), ``in_row`` in
     one array. Where more rasters touch a cell, a building may come once for each
-    array, with the rasters of that array.
+    array, with the rasters of that array. Where the extents are surveyed and every task can hold
+    their list, it is broadcast and no building moves.
     """
     if prune:
-        buildings = near_rasters(buildings, bounds, lon, lat)
+        known = known or surveyed(buildings, bounds, lon, lat)
+        buildings = near_rasters(buildings, bounds, lon, lat, known=known) if known else buildings
     xs, ys = _cells_of_box(cell)
     box = F.struct("raster_id", *BOUNDS).alias("_box")
     listed = bounds.withColumn("_cx", F.explode(xs)).withColumn("_cy", F.explode(ys)).select("_cx", "_cy", box)
@@ -153,6 +169,8 @@ def rasters_over(
         {"_cx": geo.cell_index(F.col(lon), cell), "_cy": geo.cell_index(F.col(lat), cell)}
     )
     inside = f"transform(filter(_boxes, b -> {lon} BETWEEN b.xmin AND b.xmax AND {lat} BETWEEN b.ymin AND b.ymax), b -> b.raster_id)"
+    # survey cells are of one degree: larger cells make fewer entries
+    per_cell = F.broadcast(per_cell) if known is not None and cell >= 1 and known.cells <= HELD else per_cell
     return (
         placed.join(per_cell, ["_cx", "_cy"])
         .withColumn("raster_ids", F.expr(inside))
@@ -218,9 +236,22 @@ def valid_pixels(pixels: DataFrame, meta: DataFrame) -> DataFrame:
     )
 
 
-def with_meta(df: DataFrame, meta: DataFrame) -> DataFrame:
+def with_meta(df: DataFrame, meta: DataFrame, known: Survey | None = None) -> DataFrame:
     """Rows with the metadata of their raster. A raster under a large share of the rows is split."""
-    return with_few(df, meta, "raster_id")
+    return with_few(df, meta, "raster_id", counted=math.inf if known is None else known.rasters)
+
+
+def held_pixels(pixels: DataFrame, meta: DataFrame, known: Survey | None) -> DataFrame:
+    """The pixels inside the grids of a run, broadcast where the grids have few enough places.
+
+    Pixels of other rasters or beyond the grid are never sampled, so the places of the grids bound
+    the table; one of unknown or larger size is left as it is.
+    """
+    if known is None or known.places > HELD or known.rasters > HELD:
+        return pixels
+    grids = meta.select(F.col("raster_id").alias("_id"), "n_rows", "n_cols")
+    own = (F.col("raster_id") == F.col("_id")) & F.expr("r >= 0 AND r < n_rows AND c >= 0 AND c < n_cols")
+    return F.broadcast(pixels.join(F.broadcast(grids), own, "left_semi"))
 
 
 def sample_depth(
@@ -228,6 +259,8 @@ def sample_depth(
     pixels: DataFrame | TiledPixels,
     salts: int = 1,
     salt_on: str | None = None,
+    meta: DataFrame | None = None,
+    known: Survey | None = None,
 ) -> DataFrame:
     """Add ``depth_grid``: the pixel value under each point, 0 outside or on nodata.
 
@@ -235,7 +268,8 @@ def sample_depth(
     so a pixel that holds many buildings can only skew the building side, which
     adaptive execution splits. ``salts > 1`` spreads hot pixels explicitly instead,
     by the hash of ``salt_on``, at the price of repeating the pixels. Stored tiles
-    (:mod:`tidemark.operators.tiles`) are looked up where they lie.
+    (:mod:`tidemark.operators.tiles`) are looked up where they lie. With the metadata and
+    its survey, pixels of small grids are broadcast, see :func:`held_pixels`.
     """
     keys = ["raster_id", "r", "c"]
     depth_grid = F.when(F.col("in_grid") & ~F.col("value").eqNullSafe(F.col("_mark")), F.coalesce("value", F.lit(0.0))).otherwise(F.lit(0.0))
@@ -245,6 +279,7 @@ def sample_depth(
     if isinstance(pixels, TiledPixels):
         return look_up(left, pixels, salt_on).withColumn("depth_grid", depth_grid).drop("value", "in_grid", "r", "c", "_mark")
     depth = pixels.where(F.col("value").isNotNull()).select(*keys, "value")
+    depth = depth if meta is None or salts > 1 else held_pixels(depth, meta, known)
     if salts > 1:
         left, depth = salted(left, F.col(salt_on), salts), replicated(depth, salts)
         keys = [*keys, "salt"]

@@ -12,6 +12,7 @@ from tidemark.functions import fixed, impact, text
 from tidemark.operators import damage, geography, naming, population, spatial
 from tidemark.operators import inventory as inv
 from tidemark.operators.curves import Lookups
+from tidemark.operators.extents import Survey
 from tidemark.operators.tiles import TiledPixels
 
 ENGINE_MAPPING = {
@@ -62,7 +63,9 @@ class RunParams:
         return params
 
 
-def clipped_inventory(inventory: DataFrame, raster_meta: DataFrame, policy: str = "strict", states: Sequence[str] = ()) -> DataFrame:
+def clipped_inventory(
+    inventory: DataFrame, raster_meta: DataFrame, policy: str = "strict", states: Sequence[str] = (), known: Survey | None = None
+) -> DataFrame:
     """Engine rows per raster: clip to every extent, complete, de-duplicate, project.
 
     The best row per building is chosen inside each raster extent, as a separate run
@@ -72,20 +75,23 @@ def clipped_inventory(inventory: DataFrame, raster_meta: DataFrame, policy: str
     still one row each; a hot building id is down to one row per task and raster set
     before it is shuffled. Then rows meet by building id, are listed per raster and
     compete again. That second exchange is on the id alone, so later steps per
-    building and raster, or per building, find their rows in place.
+    building and raster, or per building, find their rows in place. ``known``: the survey of the
+    extents, where the caller has it.
     """
     used = [*fixed.STRICT_REQUIRED_COLUMNS, "val_cont", "cbfips", "state"]
     bounds = spatial.raster_bounds(raster_meta).select("raster_id", *spatial.BOUNDS)
     if states:
         inventory = inventory.where(F.col("state").isin(list(states)))
     # plain ranges on the stored columns, below the cell join, so that row groups are skipped
-    rows = spatial.near_rasters(inventory.select(*[c for c in used if c in inventory.columns]), bounds)
+    known = known or spatial.surveyed(inventory, bounds)
+    rows = inventory.select(*[c for c in used if c in inventory.columns])
+    rows = spatial.near_rasters(rows, bounds, known=known) if known else rows
     if policy == "strict":
         rows = inv.require_fields(rows)
     else:
         rows = rows.where(F.col("bid").isNotNull() & F.col("latitude").isNotNull())
     # the set travels as one text: it sorts and hashes faster than an array
-    over = spatial.rasters_over(rows, bounds, prune=False).withColumn("raster_ids", F.array_join("raster_ids", SEPARATOR))
+    over = spatial.rasters_over(rows, bounds, prune=False, known=known).withColumn("raster_ids", F.array_join("raster_ids", SEPARATOR))
     first = inv.dedup_inventory(over, ["bid", "raster_ids"]).repartition("bid")
     pairs = first.withColumn("raster_id", F.explode(F.split("raster_ids", SEPARATOR))).drop("raster_ids")
     best = inv.dedup_inventory(pairs, ["bid", "raster_id"])
@@ -119,15 +125,16 @@ def damage_by_raster(
     p = params or RunParams()
     if p.event is not None:
         inventory, raster_meta = of_event(inventory, raster_meta, events, p.event)
-    engine = clipped_inventory(inventory, raster_meta, p.policy, p.states)
+    known = spatial.surveyed(inventory, spatial.raster_bounds(raster_meta))
+    engine = clipped_inventory(inventory, raster_meta, p.policy, p.states, known)
     rows = inv.apply_field_map(engine, ENGINE_MAPPING)
     # event and advisory come from the raster's name, once per raster
     named = raster_meta.withColumns(
         {"event": text.raster_event(F.col("raster_id")), "adv": text.raster_advisory(F.col("raster_id"))}
     )
-    placed = spatial.with_meta(rows, named)
+    placed = spatial.with_meta(rows, named, known)
     located = spatial.grid_position(placed, "f_lon", "f_lat", p.utm_zone)
-    sampled = spatial.sample_depth(located, raster_pixels, p.salts, "f_id")
+    sampled = spatial.sample_depth(located, raster_pixels, p.salts, "f_id", raster_meta, known)
     keep = [c for c in engine.columns if c != "raster_id"] + ["event", "adv"]
     return damage.assess(sampled, keep, ENGINE_MAPPING, p.flood_class, lookups, p.override)
 
