@@ -62,3 +62,25 @@ def test_survey_counts(spark):
     assert sized.places == 60 and sized.boxes == [(-0.5, -0.5, 2.5, 1.0)]
     with pytest.raises(ValueError):
         extents.survey(bounds.withColumn("xmin", F.when(F.col("raster_id") != "a", F.col("xmin"))))
+
+
+def largest_method(spark, df):
+    text = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$").codegenString(physical(df))
+    return max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text)))
+
+
+def test_loops_of_a_run_are_short_enough_to_be_compiled(spark, lookups, tmp_path, unmeasured):
+    bldg, meta, pixels = storm(spark, tmp_path)
+    out = plan.run_population(plan.damage_by_raster(bldg, meta, pixels, lookups), ["RES1"])
+    assert largest_method(spark, out) < 8000
+    assert out.count() >= 1
+
+
+def test_pushed_filters_pass_a_fence(spark, tmp_path):
+    from tidemark.operators.joins import fenced
+
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([("a", 1.0, None), ("b", 2.0, 3.0), (None, None, 4.0)], "k string, x double, y double").write.parquet(path)
+    rows = fenced(spark.read.parquet(path), "y")
+    assert [tuple(r) for r in rows.orderBy("y").collect()] == [("a", 1.0, None), ("b", 2.0, 3.0), (None, None, 4.0)]
+    assert "GreaterThan(x,1.0)" in physical(rows.where("x > 1")).toString()

@@ -12,6 +12,7 @@ from tidemark.functions import fixed, text
 from tidemark.operators import inventory as inv
 from tidemark.operators import spatial
 from tidemark.operators.curves import KINDS, Lookups
+from tidemark.operators.joins import fenced
 from tidemark.operators.tiles import TiledPixels
 
 
@@ -223,8 +224,8 @@ def assess(
         raise ValueError("override must be 'intended' or 'off'")
     mapped = {"building": "BDDF_ID", "content": "CDDF_ID", "inventory": "IDDF_ID"}
     user_kinds = [k for k, field in mapped.items() if names[field] and override == "intended"]
-    rows = with_lookups(with_keys(sampled, code), lookups, user_kinds)
-    rows = with_losses(rows, bool(names["ContentCost"]), bool(names["InvCost"]))
+    rows = with_lookups(fenced(with_keys(sampled, code), "f_frac"), lookups, user_kinds)
+    rows = with_losses(fenced(rows, "f_cost"), bool(names["ContentCost"]), bool(names["InvCost"]))
     rows = with_gates(rows.withColumn("status", row_status()))
     rename = {k: names[k] for k in ("SOID", "BDDF_ID", "CDDF_ID", "IDDF_ID") if names[k]}
     results = [(rename.get(name, name), col) for name, col in result_columns()]
@@ -299,7 +300,7 @@ def run_damage(
         bounds = spatial.raster_bounds(raster_meta)
         known = spatial.surveyed(inventory, bounds, f"`{lon}`", f"`{lat}`")
         inventory = spatial.near_rasters(inventory, bounds, f"`{lon}`", f"`{lat}`", known=known) if known else inventory
-    rows = inv.apply_field_map(inventory, mapping)
+    rows = fenced(inv.apply_field_map(inventory, mapping), "f_cost")
     if clip:
         # what has no readable place cannot be clipped: such rows are reported once per raster
         blank = F.col("f_missing") & ((F.col("f_lat") == 0) | (F.col("f_lon") == 0))

@@ -26,6 +26,16 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in known])
 
 
+def fenced(df: DataFrame, name: str) -> DataFrame:
+    """The same rows; the generated loop of a stage ends here and another begins.
+
+    HotSpot leaves methods above 8000 bytes interpreted unless a session sets
+    ``-XX:-DontCompileHugeMethods``. Spark fuses a long plan into one such method, but runs a projection
+    with a lambda, here the identity on a column that later steps read, outside of it and in small methods.
+    """
+    return df.withColumn(name, F.get(F.transform(F.array(f"`{name}`"), lambda x: x), F.lit(0)))
+
+
 # copies of a small side that rows choose from
 SPREAD = 16
 

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import fixed, geo
 from tidemark.operators.extents import BOUNDS, Survey, survey
-from tidemark.operators.joins import HELD, replicated, row_hash, salted, with_few
+from tidemark.operators.joins import HELD, fenced, replicated, row_hash, salted, with_few
 from tidemark.operators.tiles import TiledPixels, look_up
 
 EDGE_SAMPLES = 21
@@ -208,7 +208,7 @@ def grid_position(df: DataFrame, lon: str, lat: str, utm_zone: str = "point") ->
     if utm_zone not in ("point", "raster"):
         raise ValueError("utm_zone must be 'point' or 'raster'")
     zone = None if utm_zone == "point" else F.col("zone")
-    placed = project_utm(df, lon, lat, zone, "coalesce(projected, false)")
+    placed = fenced(project_utm(df, lon, lat, zone, "coalesce(projected, false)"), "utm_x")
     gx = F.when(F.col("projected"), F.col("utm_x")).otherwise(F.col(lon))
     gy = F.when(F.col("projected"), F.col("utm_y")).otherwise(F.col(lat))
     return (

@@ -13,6 +13,7 @@ from tidemark.operators import damage, geography, naming, population, spatial
 from tidemark.operators import inventory as inv
 from tidemark.operators.curves import Lookups
 from tidemark.operators.extents import Survey
+from tidemark.operators.joins import fenced
 from tidemark.operators.tiles import TiledPixels
 
 ENGINE_MAPPING = {
@@ -85,6 +86,8 @@ def clipped_inventory(
     # plain ranges on the stored columns, below the cell join, so that row groups are skipped
     known = known or spatial.surveyed(inventory, bounds)
     rows = inventory.select(*[c for c in used if c in inventory.columns])
+    # a column that no filter reads
+    rows = next((fenced(rows, c) for c in rows.columns if c not in fixed.STRICT_REQUIRED_COLUMNS and c != "state"), rows)
     rows = spatial.near_rasters(rows, bounds, known=known) if known else rows
     if policy == "strict":
         rows = inv.require_fields(rows)
@@ -127,7 +130,7 @@ def damage_by_raster(
         inventory, raster_meta = of_event(inventory, raster_meta, events, p.event)
     known = spatial.surveyed(inventory, spatial.raster_bounds(raster_meta))
     engine = clipped_inventory(inventory, raster_meta, p.policy, p.states, known)
-    rows = inv.apply_field_map(engine, ENGINE_MAPPING)
+    rows = fenced(inv.apply_field_map(engine, ENGINE_MAPPING), "f_cost")
     # event and advisory come from the raster's name, once per raster
     named = raster_meta.withColumns(
         {"event": text.raster_event(F.col("raster_id")), "adv": text.raster_advisory(F.col("raster_id"))}
