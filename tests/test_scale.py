@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schema
-from tidemark.operators import extents, spatial
+from tidemark.operators import damage, extents, spatial
 from tidemark.plans import impact as plan
 
 PLACES = [(f"b{i}", "RES1", 100.0 + i, 10.0, 1.0, "S", 1.0, 25.0 + 0.01 * i, -80.0 + 0.01 * i, None, "120860001001001", "Florida") for i in range(40)]
@@ -84,3 +84,13 @@ def test_pushed_filters_pass_a_fence(spark, tmp_path):
     rows = fenced(spark.read.parquet(path), "y")
     assert [tuple(r) for r in rows.orderBy("y").collect()] == [("a", 1.0, None), ("b", 2.0, 3.0), (None, None, 4.0)]
     assert "GreaterThan(x,1.0)" in physical(rows.where("x > 1")).toString()
+
+
+def test_run_damage_works_out_a_cell_once(spark, lookups, tmp_path, unmeasured):
+    """The cell of a row is not worked out again in a filter below the join, and the loops stay short."""
+    bldg, meta, pixels = storm(spark, tmp_path)
+    engine = plan.clipped_inventory(bldg, meta).drop("raster_id")
+    out = damage.run_damage(engine, plan.ENGINE_MAPPING, "CoastalA", meta, pixels, lookups)
+    assert not re.search(r"Filter [^\n]*-9223372036854775808", physical(out).toString())
+    sums = [F.sum(F.col(c).cast("decimal(24,6)")).alias(c) for c in ("Depth_Grid", "BldgLossUSD", "ContentLossUSD", "InventoryLossUSD", "Debris_Tot")]
+    assert largest_method(spark, out.groupBy("GridName", "Occ").agg(*sums)) < 8000

@@ -127,15 +127,16 @@ def bbox_join(
     if nowhere is not None:
         beyond = F.transform(F.sequence(F.lit(0), F.lit(NOWHERE_CELLS - 1)), lambda k: F.lit(NOWHERE) + k)
         cells = F.concat(F.coalesce(cells, F.array().cast("array<long>")), beyond)
-    listed = listed.withColumn("_cell", F.explode(cells)).drop("_xs", "_ys")
+    # the test of what is beyond stays on this side: on the other it would be worked out once more, below the join
+    listed = listed.withColumn("_cell", F.explode(cells)).drop("_xs", "_ys").withColumn("_beyond", F.col("_cell") < NOWHERE + NOWHERE_CELLS)
     code = geo.cell_id(on_earth(lon, 360), on_earth(lat, 90), cell)
     beyond = F.lit(NOWHERE) + F.pmod(row_hash(buildings), F.lit(NOWHERE_CELLS))
     code = code if nowhere is None else F.when(nowhere, beyond).otherwise(code)
-    placed = buildings.withColumn("_cell", F.coalesce(code, beyond))
+    placed = buildings.withColumn("_cell", F.coalesce(code, beyond, F.lit(NOWHERE)))
     inside = F.col(lon).between(F.col("xmin"), F.col("xmax")) & F.col(lat).between(F.col("ymin"), F.col("ymax"))
     entries = math.inf if known is None or cell < 1 else known.cells + (0 if nowhere is None else NOWHERE_CELLS * known.rasters)
     listed = F.broadcast(listed) if entries <= HELD else listed
-    return placed.join(listed, "_cell").where(inside | (F.col("_cell") < NOWHERE + NOWHERE_CELLS)).drop("_cell")
+    return placed.join(listed, "_cell").where(inside | F.col("_beyond")).drop("_cell", "_beyond")
 
 
 def rasters_over(
