@@ -385,7 +385,7 @@ def whole_stories(spark, sf):
 def _(spark, sf):
     lines = src.feature_lines(whole_stories(spark, sf))
     path = scratch_dir(spark)
-    lines.write.text(path)
+    writers.write_lines(lines, path)
     return feature_sums(src.read_feature_lines(spark, path))
 
 

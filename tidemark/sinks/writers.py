@@ -21,6 +21,15 @@ from tidemark.sinks.publish import publish
 SPREAD = 32
 
 
+# lines of one file of text: a packed file is read by one task
+FILE_LINES = 1_000_000
+
+
+def write_lines(lines: DataFrame, path: str, overwrite: bool = False, file_lines: int = FILE_LINES) -> None:
+    """Text lines, packed, ``file_lines`` to a file at most; readers of text unpack them by themselves."""
+    publish(lines, path, overwrite, lambda writer, to: writer.option("compression", "gzip").option("maxRecordsPerFile", file_lines).text(to))
+
+
 def write_engine_input(df: DataFrame, path: str, overwrite: bool = False) -> int:
     """CSV with a header; returns the row count, observed during the write."""
     seen = Observation("engine_input")
