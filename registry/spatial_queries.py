@@ -407,7 +407,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Feature files as a stream through the stateless operators, until none is left."""
     path = scratch_dir(spark)
-    src.feature_lines(b.bldg(spark, sf).withColumn("num_story", F.col("num_story").cast("long"))).write.text(f"{path}/in")
+    writers.write_lines(src.feature_lines(whole_stories(spark, sf)), f"{path}/in")
     rows = features.engine_stream(features.read_feature_stream(spark, f"{path}/in"))
     features.write_feature_stream(rows, f"{path}/out", f"{path}/state").awaitTermination()
     return engine_sums(spark.read.parquet(f"{path}/out"))
