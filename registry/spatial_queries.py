@@ -392,14 +392,17 @@ def _(spark, sf):
 @query("src05_feature_collection", sql(f"SELECT {FEATURE_SUMS} FROM bldg GROUP BY 1", "bldg"))
 def _(spark, sf):
     """Stored documents, one for every 4096 order keys, written line by line and read in splits."""
-    lines = src.feature_lines(whole_stories(spark, sf).withColumn("fd_id", F.split("bid", "-")[0].cast("long")))
-    doc = F.expr("CAST(get_json_object(value, '$.properties.fd_id') AS BIGINT) DIV 4096")
-    place = F.row_number().over(Window.partitionBy("doc").orderBy("value"))
-    body = lines.withColumn("doc", doc).withColumn("pos", place).withColumn("value", F.when(F.col("pos") == 1, F.col("value")).otherwise(F.concat(F.lit(", "), "value")))
-    ends = F.array(F.struct(F.lit(0).alias("pos"), F.lit('{"type": "FeatureCollection", "features": [').alias("value")), F.struct(F.lit(2**31 - 1).alias("pos"), F.lit("]}").alias("value")))
-    edges = body.select("doc").distinct().select("doc", F.inline(ends))
+    raw = b.table(spark, sf, "lineitem").withColumn("fd_id", F.split(F.expr(b.BLDG["bid"]), "-")[0].cast("long")).withColumn("doc", F.expr("fd_id DIV 4096"))
+    # stored rows are dealt and sorted, their text is made after that
+    used = sorted({c for c in raw.columns if any(c in e for e in b.BLDG.values())})
+    within = Window.partitionBy("doc").orderBy(*used)
+    dealt = raw.select(*used, "fd_id", "doc").withColumns({"first": F.row_number().over(within) == 1, "last": F.lead(F.lit(1)).over(within).isNull()})
+    rows = b.project(dealt, {**b.BLDG, **{c: c for c in ("fd_id", "doc", "first", "last")}, "num_story": f"CAST({b.BLDG['num_story']} AS BIGINT)"})
+    opening = F.when(F.col("first"), F.lit('{"type": "FeatureCollection", "features": [\n')).otherwise(F.lit(", "))
+    closing = F.when(F.col("last"), F.lit("\n]}")).otherwise(F.lit(""))
+    body = src.feature_lines(rows, ["doc", "first", "last"]).select("doc", F.concat(opening, "value", closing).alias("value"))
     path = scratch_dir(spark)
-    body.unionByName(edges).repartition("doc").sortWithinPartitions("doc", "pos").drop("pos").write.partitionBy("doc").text(path)
+    body.write.option("compression", "gzip").partitionBy("doc").text(path)
     return feature_sums(src.read_feature_collection(spark, path))
 
 

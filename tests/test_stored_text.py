@@ -35,7 +35,7 @@ def test_lines_are_packed_and_cut(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "a")).distinct().count() == 1000
 
 
-PACKED = ["src04_feature_lines", "str01_feature_stream"]
+PACKED = ["src04_feature_lines", "str01_feature_stream", "src05_feature_collection"]
 
 
 @pytest.mark.parametrize("name", PACKED)
@@ -46,3 +46,19 @@ def test_stored_feature_text_is_small(spark, tmp_path, monkeypatch, name):
     plain = src.feature_lines(b.bldg(spark, sf)).agg(F.sum(F.length("value"))).first()[0]
     files = text_files(tmp_path / "scratch")
     assert files and sum(map(os.path.getsize, files)) < plain / 4
+
+
+def test_documents_are_whole_json(spark, tmp_path, monkeypatch):
+    """Every row is a feature of the document of its key; stored rows move, not their text."""
+    sf = lineitem(spark, tmp_path)
+    monkeypatch.setattr(spatial_queries, "scratch_dir", lambda s: str(tmp_path / "scratch"))
+    out = catalog.QUERIES["src05_feature_collection"](spark, sf)
+    assert out.agg(F.sum("n")).first()[0] == 4006
+    docs = {}
+    for f in text_files(tmp_path / "scratch"):
+        key = f.split("doc=")[1].split("/")[0]
+        doc = json.loads(gzip.open(f).read())
+        assert doc["type"] == "FeatureCollection" and key not in docs
+        docs[key] = [x["properties"].get("fd_id") for x in doc["features"]]
+    assert {k: len(v) for k, v in docs.items()} == {"0": 2735, "1": 1270, "__HIVE_DEFAULT_PARTITION__": 1}
+    assert all(str(i // 4096) == k for k, v in docs.items() for i in v if i is not None)

@@ -135,8 +135,8 @@ def read_feature_collection(spark: SparkSession, path: str, whole: bool = False)
     return parse_feature_pieces(spark.read.option("lineSep", FEATURE_MARK).text(path))
 
 
-def feature_lines(df: DataFrame) -> DataFrame:
-    """Inventory rows to feature lines in column ``value``: the inverse of parsing."""
+def feature_lines(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Inventory rows to feature lines in column ``value`` (plus ``extra``): the inverse of parsing."""
     names = [c for c in df.columns if c in schema.FEATURE_PROPERTIES.names]
     body = F.struct(
         F.lit("Feature").alias("type"),
@@ -145,5 +145,5 @@ def feature_lines(df: DataFrame) -> DataFrame:
         ).alias("geometry"),
         F.struct(*names).alias("properties"),
     )
-    return df.select(F.to_json(body).alias("value"))
+    return df.select(F.to_json(body).alias("value"), *extra)
 
