@@ -541,7 +541,7 @@ STATE_CODES = [("Florida", "FL", "12"), ("Georgia", "GA", "13"), ("South Carolin
 def _(spark, sf):
     """Raw feature lines and stored inventory by state, their files measured, as the written JSON has it."""
     root, rows = scratch_dir(spark), whole_stories(spark, sf)
-    src.feature_lines(rows.withColumn("firmzone", F.col("state"))).write.text(f"{root}/raw")
+    writers.write_lines(src.feature_lines(rows.withColumn("firmzone", F.col("state"))), f"{root}/raw")
     good = rows.where("occtype IS NOT NULL AND state <> 'Texas'")
     writers.write_inventory(inv.dedup_inventory(good, ["state", "bid"]), f"{root}/stored")
     states = writers.state_manifest(spark.read.text(f"{root}/raw"), spark.read.parquet(f"{root}/stored"), F.get_json_object("value", "$.properties.firmzone"))

@@ -35,7 +35,7 @@ def test_lines_are_packed_and_cut(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "a")).distinct().count() == 1000
 
 
-PACKED = ["src04_feature_lines", "str01_feature_stream", "src05_feature_collection"]
+PACKED = ["src04_feature_lines", "str01_feature_stream", "src05_feature_collection", "snk08_manifest"]
 
 
 @pytest.mark.parametrize("name", PACKED)
