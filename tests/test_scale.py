@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import schema
 from tidemark.operators import damage, extents, spatial
 from tidemark.plans import impact as plan
+from tidemark.sinks import writers
 
 PLACES = [(f"b{i}", "RES1", 100.0 + i, 10.0, 1.0, "S", 1.0, 25.0 + 0.01 * i, -80.0 + 0.01 * i, None, "120860001001001", "Florida") for i in range(40)]
 NAMES = "bid string, occtype string, val_struct double, sqft double, num_story double, found_type string, found_ht double, latitude double, longitude double, val_cont double, cbfips string, state string"
@@ -94,3 +95,16 @@ def test_run_damage_works_out_a_cell_once(spark, lookups, tmp_path, unmeasured):
     assert not re.search(r"Filter [^\n]*-9223372036854775808", physical(out).toString())
     sums = [F.sum(F.col(c).cast("decimal(24,6)")).alias(c) for c in ("Depth_Grid", "BldgLossUSD", "ContentLossUSD", "InventoryLossUSD", "Debris_Tot")]
     assert largest_method(spark, out.groupBy("GridName", "Occ").agg(*sums)) < 8000
+
+
+def test_predictions_are_written_where_they_are(spark, tmp_path):
+    """One file for an event from each task that has it, also of more events than a task holds open."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    rows = spark.range(0, 4000, numPartitions=2).selectExpr("concat('b', id) AS FltyId", "concat('E', id % 40) AS event", "CAST(id % 2 AS INT) AS adv", "id / 2 AS BldgLossUSD")
+    rows = rows.union(spark.range(1, numPartitions=1).selectExpr("'x'", "NULL", "3", "0.5D"))
+    writers.write_predictions(rows, str(tmp_path / "out"))
+    files = [f for f in (tmp_path / "out").rglob("part-*")]
+    assert len(files) == 2 * 40 + 1 and spark.conf.get(name) == before
+    read = spark.read.parquet(str(tmp_path / "out")).select(*rows.columns)
+    assert sorted(map(str, read.collect())) == sorted(map(str, rows.collect()))

@@ -17,8 +17,8 @@ from tidemark.operators.validation import validation_report
 from tidemark.sinks.publish import publish
 
 
-# files of one event and advisory
-SPREAD = 32
+# files that a task of predictions holds open, and bytes of a row group of each
+OPEN_FILES, ROW_GROUP = 16, 16 << 20
 
 
 # lines of one file of text: a packed file is read by one task
@@ -49,11 +49,20 @@ def write_inventory(df: DataFrame, root: str, overwrite: bool = False, cell: flo
 def write_predictions(df: DataFrame, root: str, overwrite: bool = False) -> None:
     """Results partitioned by event and advisory; the grid name stays a column.
 
-    Rows are dealt by event, advisory and one of ``SPREAD`` numbers, so an event writes that many
-    files at most, and a large one is written by as many tasks.
+    Results are many times larger than what they are worked out from, so they are written where they
+    are, neither shuffled nor sorted: a task holds up to ``OPEN_FILES`` files open, with small row groups,
+    and sorts only what belongs to still more. An event and advisory gets a file from each task that
+    has rows of it; fewer come from fewer tasks (``df.coalesce``).
     """
-    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c.lower() in ("fltyid", "gridname")] or df.columns), F.lit(SPREAD))
-    publish(df.repartition("event", "adv", spread), root, overwrite, lambda writer, to: writer.partitionBy("event", "adv").parquet(to))
+    conf, name = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name)
+    conf.set(name, OPEN_FILES)
+    try:
+        publish(
+            df, root, overwrite, lambda writer, to: writer.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).partitionBy("event", "adv").parquet(to)
+        )
+    finally:
+        conf.set(name, before)
 
 
 def result_name(inventory: str, raster: str) -> str:
