@@ -186,3 +186,20 @@ def test_archive_query(spark, sf):
     expected = con.execute(ORACLES["op10_warc_archives"]).fetchall()
     columns = [d[0] for d in con.description]
     assert sorted(tuple(r[c] for c in columns) for r in QUERIES["op10_warc_archives"](spark, sf).collect()) == sorted(expected)
+
+
+def test_nodes_are_expanded_and_linked_many_at_once(monkeypatch):
+    """A search takes few steps, a build no search at all, and neighbours before a node are exact."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, 24)).astype(np.float32)
+    x[700:720] = x[3]
+    steps, near, search = [], ann.Graph.near, ann.Graph.search
+    monkeypatch.setattr(ann.Graph, "search", None)
+    graph = ann.build(x, 2)
+    monkeypatch.setattr(ann.Graph, "search", search)
+    monkeypatch.setattr(ann.Graph, "near", lambda self, layer, nodes: steps.append(layer) or near(self, layer, nodes))
+    found = graph.query(x[9], 160)
+    assert len({*found.tolist()}) == 160 and steps.count(0) <= 25
+    for row, nodes, close in ann.nearest_before(x, np.arange(0, 1500, 2)):
+        before = x[np.arange(0, 2 * row, 2)] @ x[2 * row]
+        assert len(nodes) == min(row, ann.EF_BUILD) and np.allclose(np.sort(close), np.sort(before)[-len(nodes) :], atol=1e-3)

@@ -17,7 +17,7 @@ its best score. A shard of no more nodes than a search keeps is scanned. Ties go
 
 from __future__ import annotations
 
-import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,6 +31,8 @@ BLOCK = 2048
 # EF: nodes a search keeps in every shard, however many shards the table has
 DEGREE, EF_BUILD, EF = 16, 64, 160
 EMPTY = -1
+# nodes a search expands at once, nodes that look for their neighbours at once
+WIDE, ROWS = 32, 512
 
 
 class Graph:
@@ -39,53 +41,54 @@ class Graph:
     def __init__(self, points: np.ndarray, links: list[np.ndarray], rows: list[np.ndarray], entry: int):
         self.points, self.links, self.rows, self.entry = points, links, rows, entry
         self.seen, self.stamp = np.zeros(len(points), np.int32), 0
-
-    def near(self, layer: int, node: int) -> np.ndarray:
-        own = self.links[layer][node if layer == 0 else self.rows[layer][node]]
-        return own[own != EMPTY]
-
-    def search(self, q: np.ndarray, starts: list[int], ef: int, layer: int) -> list[tuple[float, int]]:
-        """Best ``ef`` nodes reached from ``starts``, best first."""
+        self.first = np.zeros(len(points), np.int32)
+
+    def near(self, layer: int, nodes: np.ndarray) -> np.ndarray:
+        """Neighbours of the nodes that this search has not seen, each once."""
+        own = self.links[layer][nodes if layer == 0 else self.rows[layer][nodes]].ravel()
+        own = own[own != EMPTY]
+        own = own[self.seen[own] != self.stamp]
+        place = np.arange(len(own), dtype=np.int32)
+        self.first[own] = place
+        own = own[self.first[own] == place]
+        self.seen[own] = self.stamp
+        return own
+
+    def search(self, q: np.ndarray, start: int, ef: int, layer: int) -> np.ndarray:
+        """Best ``ef`` nodes reached from ``start``, best first: ends when all of them are expanded."""
         self.stamp += 1
-        self.seen[starts] = self.stamp
-        first = [(float(self.points[s] @ q), s) for s in starts]
-        best = list(first)
-        heapq.heapify(best)
-        todo = [(-s, n) for s, n in first]
-        heapq.heapify(todo)
-        while todo:
-            s, node = heapq.heappop(todo)
-            if len(best) >= ef and -s < best[0][0]:
-                break
-            near = self.near(layer, node)
-            near = near[self.seen[near] != self.stamp]
+        self.seen[start] = self.stamp
+        nodes, close, todo = np.array([start]), self.points[[start]] @ q, np.ones(1, bool)
+        while True:
+            open_ = np.flatnonzero(todo)
+            if not len(open_):
+                return nodes[np.lexsort((nodes, -close))]
+            if len(open_) > WIDE:
+                open_ = open_[np.argpartition(-close[open_], WIDE - 1)[:WIDE]]
+            todo[open_] = False
+            near = self.near(layer, nodes[open_])
+            reached = self.points[near] @ q
+            if len(nodes) >= ef:
+                good = reached > close.min()
+                near, reached = near[good], reached[good]
             if not len(near):
                 continue
-            self.seen[near] = self.stamp
-            close = self.points[near] @ q
-            if len(best) >= ef:
-                good = close > best[0][0]
-                near, close = near[good], close[good]
-            for x, n in zip(close.tolist(), near.tolist(), strict=True):
-                if len(best) < ef:
-                    heapq.heappush(best, (x, n))
-                elif x > best[0][0]:
-                    heapq.heapreplace(best, (x, n))
-                else:
-                    continue
-                heapq.heappush(todo, (-x, n))
-        return sorted(best, reverse=True)
+            nodes, close = np.concatenate([nodes, near]), np.concatenate([close, reached])
+            todo = np.concatenate([todo, np.ones(len(near), bool)])
+            if len(nodes) > ef:
+                best = np.argpartition(-close, ef - 1)[:ef]
+                nodes, close, todo = nodes[best], close[best], todo[best]
 
     def descend(self, q: np.ndarray, to: int) -> int:
         at = self.entry
         for layer in range(len(self.links) - 1, to, -1):
-            at = self.search(q, [at], 1, layer)[0][1]
+            at = int(self.search(q, at, 1, layer)[0])
         return at
 
     def query(self, q: np.ndarray, ef: int) -> np.ndarray:
         if len(self.points) <= ef:
             return np.arange(len(self.points))
-        return np.array([n for _, n in self.search(q, [self.descend(q, 0)], ef, 0)])
+        return self.search(q, self.descend(q, 0), ef, 0)
 
 
 def spread(points: np.ndarray, nodes: np.ndarray, close: np.ndarray, size: int) -> np.ndarray:
@@ -105,47 +108,53 @@ def spread(points: np.ndarray, nodes: np.ndarray, close: np.ndarray, size: int)
     return nodes[kept + rest[: size - len(kept)]]
 
 
+def nearest_before(points: np.ndarray, members: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Each member but the first, its nearest ``EF_BUILD`` among those before it, and how near they are.
+
+    Products of a block of nodes with all before it: exact, and a small part of a search for each node.
+    """
+    for a in range(0, len(members), ROWS):
+        rows = np.arange(a, min(a + ROWS, len(members)))
+        close = points[members[rows]] @ points[members[: rows[-1] + 1]].T
+        close[np.arange(close.shape[1])[None] >= rows[:, None]] = -np.inf
+        held = min(EF_BUILD, close.shape[1])
+        best = np.argpartition(-close, held - 1, axis=1)[:, :held]
+        near = np.take_along_axis(close, best, axis=1)
+        for i, row in enumerate(rows.tolist()):
+            if row:
+                known = near[i] > -np.inf
+                yield row, members[best[i][known]], near[i][known]
+
+
 def build(points: np.ndarray, seed: int) -> Graph:
-    """Inserts the points one by one. Slots are twice the degree; a full node is thinned to it."""
+    """Links the points one by one, layer by layer, to their nearest before them. Slots are twice the
+    degree; a full node is thinned to it."""
     n = len(points)
     level = np.minimum((-np.log(np.random.default_rng(seed).random(n) + 1e-12) / np.log(DEGREE)).astype(int), 8)
-    top = int(level.max(initial=0))
-    links, rows, used = [], [], []
-    for layer in range(top + 1):
+    links, rows = [], []
+    for layer in range(int(level.max(initial=0)) + 1):
         members = np.flatnonzero(level >= layer)
         place = np.full(n, EMPTY)
         place[members] = np.arange(len(members))
         degree = DEGREE * (2 if layer == 0 else 1)
-        links.append(np.full((len(members), 2 * degree), EMPTY, np.int32))
-        used.append(np.zeros(len(members), int))
-        rows.append(place)
-    graph, height = Graph(points, links[:1], rows, 0), int(level[0]) if n else 0
-    graph.links = links[: height + 1]
-    for node in range(1, n):
-        q, own = points[node], int(level[node])
-        at = [graph.descend(q, min(own, height))]
-        for layer in range(min(own, height), -1, -1):
-            found = graph.search(q, at, EF_BUILD, layer)
-            degree = DEGREE * (2 if layer == 0 else 1)
-            close, nodes = (np.array(x) for x in zip(*found, strict=True))
+        table, count = np.full((len(members), 2 * degree), EMPTY, np.int32), [0] * len(members)
+        for r, nodes, close in nearest_before(points, members):
             chosen = spread(points, nodes, close, DEGREE)
-            table, row, count = links[layer], rows[layer], used[layer]
-            r = row[node]
             table[r, : len(chosen)], count[r] = chosen, len(chosen)
-            for other in chosen.tolist():
-                o = row[other]
+            node = members[r]
+            for other, o in zip(chosen.tolist(), place[chosen].tolist(), strict=True):
                 if count[o] == 2 * degree:
                     near = np.append(table[o], node)
                     keep = spread(points, near, points[near] @ points[other], degree)
                     table[o] = EMPTY
                     table[o, : len(keep)], count[o] = keep, len(keep)
                 else:
-                    table[o, count[o]], count[o] = node, count[o] + 1
-            at = [x for _, x in found[:4]]
-        if own > height:
-            graph.entry, height = node, own
-            graph.links = links[: height + 1]
-    return graph
+                    table[o, count[o]] = node
+                    count[o] += 1
+        links.append(table)
+        rows.append(place)
+    # the first of the highest layer
+    return Graph(points, links, rows, int(np.argmax(level)) if n else 0)
 
 
 # --- shards ------------------------------------------------------------------------
@@ -173,7 +182,7 @@ def build_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     shuffle = np.random.default_rng(seeded("order", dim, shard)).permutation(len(distinct))
     back = np.argsort(shuffle)
     graph = build(points[shuffle], seeded("levels", dim, shard))
-    layers = [np.flatnonzero(place != EMPTY) for place in graph.rows[1 : len(graph.links)]]
+    layers = [np.flatnonzero(place != EMPTY) for place in graph.rows[1:]]
     return pd.DataFrame(
         {
             "dim": [dim],
@@ -227,9 +236,9 @@ def search_shard(k: int, ef: int, top: int = 0):
                     score = (vectors[nodes] * q).sum(1)
                 near = np.ldexp((np.ldexp(vectors[nodes], -band) * unit).sum(1), band - top)
                 # of one node's ids only the k + 1 smallest can be among the answers
-                own = [ids[begin[n] : min(begin[n + 1], begin[n] + k + 1)] for n in nodes]
-                size = [len(x) for x in own]
-                found, score, near = np.concatenate(own), np.repeat(score, size), np.repeat(near, size)
+                size = np.minimum(begin[nodes + 1] - begin[nodes], k + 1)
+                at = np.repeat(begin[nodes] - np.cumsum(size) + size, size) + np.arange(size.sum())
+                found, score, near = ids[at], np.repeat(score, size), np.repeat(near, size)
                 other = found != query_id
                 score, near, found = score[other], near[other], found[other]
                 best = np.lexsort((found, -near))
